@@ -8,6 +8,7 @@ table. It has one row per distinct value, so a value that a third of all rows sh
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -98,7 +99,20 @@ def ks_table(
     starts at the total of the slices before it, which is a window over one row per slice, and only
     runs a sum over its own rows. Both forms give the same numbers.
     """
-    counts = materialize(value_counts(tagged, columns), "value-counts")
+    return ks_from_counts(value_counts(tagged, columns), columns, values_per_task)
+
+
+def merge_counts(*counts: DataFrame) -> DataFrame:
+    """Add up value counts, for instance a stored baseline's and a new batch's."""
+    both = reduce(DataFrame.unionByName, counts)
+    return both.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
+def ks_from_counts(
+    counts: DataFrame, columns: Sequence[str], values_per_task: int = VALUES_PER_TASK
+) -> DataFrame:
+    """:func:`ks_table` from value counts."""
+    counts = materialize(counts, "value-counts")
     totals = materialize(_totals(counts), "feature-totals")
     size = totals.agg(
         F.max("distinct_values").alias("largest"), F.sum("distinct_values").alias("rows")

@@ -137,33 +137,44 @@ def drop_leftovers(df: DataFrame) -> DataFrame:
 # --- rare places -----------------------------------------------------------------------------
 
 
-def value_frequency(df: DataFrame, column: str) -> DataFrame:
-    """(value, n) over the non-null values of a column; a hot value is counted map-side."""
+def value_frequency(df: DataFrame, columns: Sequence[str] = PLACES) -> DataFrame:
+    """(column, value, n) over the non-null values of each column on its own.
+
+    One pass and one shuffle for all columns; a hot value is counted map-side.
+    """
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        df.select(_pairs(columns))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def rare_values(df: DataFrame, column: str, below: int = TripRules.rare_below) -> DataFrame:
-    """Values seen fewer than ``below`` times, with their counts."""
-    return value_frequency(df, column).where(F.col("n") < below)
+def _pairs(columns: Sequence[str]) -> Column:
+    return F.inline(
+        F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in columns])
+    )
+
+
+def rare_values(df: DataFrame, columns: Sequence[str] = PLACES, below: int = TripRules.rare_below) -> DataFrame:
+    """(column, value, n) of the values seen fewer than ``below`` times in their column."""
+    return value_frequency(df, columns).where(F.col("n") < below)
 
 
-def group_rare(df: DataFrame, column: str, rare: DataFrame) -> DataFrame:
-    """Replace the values listed in ``rare`` by "Other".
+def group_rare(df: DataFrame, rare: DataFrame, columns: Sequence[str] = PLACES) -> DataFrame:
+    """Replace the values that ``rare`` lists for a column by "Other".
 
-    ``rare`` grows with the data, so its size is checked: up to ``MAX_BROADCAST_VALUES`` rows it is
+    The list grows with the data, so its size is checked: up to ``MAX_BROADCAST_VALUES`` rows it is
     broadcast; beyond that a shuffle join is planned, whose hot keys AQE splits.
     """
-    names = rare.select(F.col("value").alias("_rare"))
-    names = materialize(names, f"rare-{column}")
-    if names.count() <= MAX_BROADCAST_VALUES:
-        names = F.broadcast(names)
-    joined = df.join(names, F.col(column) == F.col("_rare"), "left")
-    value = F.when(F.col("_rare").isNotNull(), F.lit(OTHER)).otherwise(F.col(column))
-    return joined.withColumn(column, value).drop("_rare")
+    rare = materialize(rare.select("column", "value"), "rare")
+    small = rare.count() <= MAX_BROADCAST_VALUES
+    for c in columns:
+        names = rare.where(F.col("column") == c).select(F.col("value").alias("_rare"))
+        joined = df.join(F.broadcast(names) if small else names, F.col(c) == F.col("_rare"), "left")
+        value = F.when(F.col("_rare").isNotNull(), F.lit(OTHER)).otherwise(F.col(c))
+        df = joined.withColumn(c, value).drop("_rare")
+    return df
 
 
 # --- train/test split ------------------------------------------------------------------------
@@ -270,13 +281,11 @@ class FeatureModel:
         columns are counted in one aggregation. Only frequent places and other categories reach the
         driver, and their number is checked; the rare ones stay a count.
         """
-        train = is_train.cast("long")
         # Nulls are no category here; cleaned trips hold none.
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CATEGORICAL]))
         counts = (
-            df.select(train.alias("_train"), pairs.alias("_pair"))
-            .where(F.col("_pair.value").isNotNull())
-            .groupBy("_pair.column", "_pair.value")
+            df.select(is_train.cast("long").alias("_train"), _pairs(CATEGORICAL))
+            .where(F.col("value").isNotNull())
+            .groupBy("column", "value")
             .agg(
                 F.count(F.lit(1)).alias("n_all"),
                 F.sum("_train").alias("n_train"),

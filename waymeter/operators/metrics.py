@@ -92,19 +92,25 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     a one-row table and no driver round trip.
     """
     value = F.col(column)
-    ends = df.where(value.isNotNull()).agg(
-        F.struct(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).alias("ends")
+    widen = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    lo, hi = F.col("lo"), F.col("hi")
+    edges = F.transform(
+        F.sequence(F.lit(0), F.lit(bins)),
+        lambda i: F.when(i == bins, hi).otherwise(lo + i * ((hi - lo) / bins)),
+    )
+    bounds = (
+        df.where(value.isNotNull())
+        .agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
+        .select((lo - widen).alias("lo"), (hi + widen).alias("hi"))
+        .select(F.struct(lo, hi, edges.alias("edges")))
+        .scalar()
     )
-    bounds = ends.scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    flat = lo == hi
-    lo, hi = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
-    step = (hi - lo) / bins
 
     def edge(i: Column) -> Column:
-        return F.when(i == bins, hi).otherwise(lo + i * step)
+        return F.get(bounds["edges"], i)
 
-    rough = F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+    part = (value - bounds["lo"]) / (bounds["hi"] - bounds["lo"])
+    rough = F.least(F.floor(part * bins), F.lit(bins - 1)).cast("int")
     # The quotient can land one bin off at an edge; the edges themselves decide.
     exact = (
         F.when(value < edge(F.col("_b")), F.col("_b") - 1)

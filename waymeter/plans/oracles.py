@@ -404,7 +404,10 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
         "SELECT request_id, coalesce(nullif(passenger_count, 0), 1) AS passenger_count,"
         " coalesce(nullif(surge_multiplier, 0), 1.0) AS surge_multiplier FROM requests"
     )
-    out["location_frequency"] = on_clean("SELECT pickup_location AS value, count(*) AS n FROM cleaned GROUP BY ALL")
+    out["location_frequency"] = on_clean(
+        "SELECT 'pickup_location' AS \"column\", pickup_location AS value, count(*) AS n FROM cleaned GROUP BY ALL"
+        " UNION ALL SELECT 'drop_location', drop_location, count(*) FROM cleaned GROUP BY ALL"
+    )
     out["rare_locations"] = on_clean(
         "SELECT 'pickup_location' AS \"column\", pickup_location AS value, count(*) AS n FROM cleaned GROUP BY ALL"
         " HAVING count(*) < 20 UNION ALL SELECT 'drop_location', drop_location, count(*) FROM cleaned"

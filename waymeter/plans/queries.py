@@ -208,25 +208,18 @@ def request_defaults(spark, sf_dir):
 
 @query
 def location_frequency(spark, sf_dir):
-    return features.value_frequency(cleaned(spark, sf_dir), "pickup_location")
+    return features.value_frequency(cleaned(spark, sf_dir))
 
 
 @query
 def rare_locations(spark, sf_dir):
-    trips = cleaned(spark, sf_dir)
-    pickup, drop = (
-        features.rare_values(trips, c).select(F.lit(c).alias("column"), "value", "n") for c in features.PLACES
-    )
-    return pickup.unionByName(drop)
+    return features.rare_values(cleaned(spark, sf_dir))
 
 
 @query
 def rare_grouped(spark, sf_dir):
-    trips = cleaned(spark, sf_dir)
-    out = trips
-    for c in features.PLACES:
-        out = features.group_rare(out, c, features.rare_values(trips, c))
-    return out
+    trips = materialize(cleaned(spark, sf_dir), "clean")
+    return features.group_rare(trips, features.rare_values(trips))
 
 
 @query
@@ -245,9 +238,14 @@ def fitted(rows: DataFrame) -> features.FeatureModel:
     return features.FeatureModel.fit(rows, ~F.col("is_test"))
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as a stage border: written once for the passes that follow."""
+    return materialize(featured(spark, sf_dir), "features")
+
+
 @query
 def one_hot(spark, sf_dir):
-    rows = featured(spark, sf_dir)
+    rows = stored_features(spark, sf_dir)
     model = fitted(rows)
     return model.transform(rows, keep=["is_test"]).select(
         *[features.quoted(c) for c in model.one_hot_columns], "is_test"
@@ -256,7 +254,7 @@ def one_hot(spark, sf_dir):
 
 @query
 def training_features(spark, sf_dir):
-    rows = featured(spark, sf_dir)
+    rows = stored_features(spark, sf_dir)
     return fitted(rows).transform(rows, keep=[TARGET, "is_test"])
 
 
@@ -464,8 +462,8 @@ def numeric_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 @query
 def ridge_fit(spark, sf_dir):
     names = ["trip_distance_km", "traffic_level"]
-    train = numeric_rows(featured(spark, sf_dir).where("NOT is_test"))
-    model = models.fit_ridge(features.assemble(train, names))
+    train = numeric_rows(featured(spark, sf_dir).where("NOT is_test")).select(*names, TARGET)
+    model = models.fit_ridge(features.assemble(materialize(train, "ridge"), names))
     return rounded(models.ridge_coefficients(model, names), "coefficient")
 
 
@@ -499,10 +497,9 @@ def gbt_metrics(spark, sf_dir):
 
 def full_ridge(spark: SparkSession, sf_dir: str):
     """Feature model and ridge on all features, with the encoded test rows."""
-    rows = featured(spark, sf_dir)
+    rows = stored_features(spark, sf_dir)
     encoder = fitted(rows)
-    wide = materialize(encoder.transform(rows, keep=[TARGET, "is_test"]), "encoded")
-    table = encoder.assemble(wide)
+    table = encoder.assemble(encoder.transform(rows, keep=[TARGET, "is_test"]))
     train, test = table.where("NOT is_test"), table.where("is_test")
     return encoder, models.fit_ridge(train.select("features", TARGET)), test
 

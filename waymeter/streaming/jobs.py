@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from waymeter.operators import clean as cleaning
 from waymeter.operators import drift, metrics, policy, score, validate
 from waymeter.params import DriftRules, TripRules
+from waymeter.session import materialize
 
 WATERMARK = "10 minutes"
 
@@ -157,18 +158,22 @@ def drift_stream(
 ) -> StreamingQuery:
     """Drift of each micro-batch against a stored baseline, and the decision that follows.
 
-    Writes the feature records, the summary and, where an error measure is given, the decision, each
-    in a partition per micro-batch.
+    The baseline is reduced to its value counts once, before the stream starts; a micro-batch adds its
+    own. Writes the feature records, the summary and, where an error measure is given, the decision,
+    each in a partition per micro-batch.
     """
+    known = drift.value_counts(baseline.withColumn(drift.SIDE, F.lit(False)), columns)
+    known = materialize(known, "baseline-counts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         batch = batch.persist()
         try:
-            tagged = drift.tag_sides(baseline, batch, columns)
+            new = drift.value_counts(batch.withColumn(drift.SIDE, F.lit(True)), columns)
+            table = drift.ks_from_counts(drift.merge_counts(known, new), columns)
             out = f"{folder}/features/batch_id={batch_id}"
-            drift.feature_drift(tagged, columns, method, rules).write.mode("overwrite").parquet(out)
+            drift.feature_records(table, method, rules).write.mode("overwrite").parquet(out)
             summary = drift.drift_summary(batch.sparkSession.read.parquet(out), rules)
             summary.write.mode("overwrite").parquet(f"{folder}/summary/batch_id={batch_id}")
             if errors is not None and baseline_rmse is not None:
