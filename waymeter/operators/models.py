@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymeter.operators.metrics import evaluation_report, metric_columns
+from waymeter.operators.metrics import compared_metrics, evaluation_report
 from waymeter.params import CATEGORICAL, TARGET, TRAFFIC_ORDINAL, ModelSettings, TripRules
 
 Fit = Callable[[DataFrame], Model]
@@ -95,19 +95,8 @@ def model_metrics(models: Mapping[str, Model], train: DataFrame, test: DataFrame
     scored = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     for i, model in enumerate(models.values()):
         scored = model.copy().setPredictionCol(f"_p{i}").transform(scored)
-    aggregates, entries = [], []
-    for i, name in enumerate(models):
-        parts = metric_columns(F.col(target), F.col(f"_p{i}"))
-        aggregates += [c.alias(f"_{i}_{metric}") for metric, c in parts.items()]
-        entries.append(
-            F.struct(
-                F.lit(i).alias("ord"),
-                F.lit(name).alias("model"),
-                *[F.col(f"_{i}_{metric}").alias(metric) for metric in parts],
-            )
-        )
-    wide = scored.groupBy("split").agg(*aggregates)
-    return wide.select("split", F.inline(F.array(*entries)))
+    columns = {name: f"_p{i}" for i, name in enumerate(models)}
+    return compared_metrics(scored, target, columns, by=["split"])
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:

@@ -239,11 +239,11 @@ sides AS (
   UNION ALL SELECT *, true AS cur FROM changed)"""
 
 
-def ks() -> str:
+def ks(columns=DRIFT_COLUMNS) -> str:
     """``ks``: one row per drift column from ``sides``."""
     long = " UNION ALL ".join(
-        f"SELECT {i} AS position, {text(c)} AS feature, CAST({c} AS DOUBLE) AS v, cur FROM sides"
-        for i, c in enumerate(DRIFT_COLUMNS)
+        f"SELECT {i} AS position, {text(c)} AS feature, CAST({ident(c)} AS DOUBLE) AS v, cur FROM sides"
+        for i, c in enumerate(columns)
     )
     return f"""long AS ({long}),
 vals AS (SELECT position, feature, v, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c
@@ -439,6 +439,23 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
         f" round(mape * 100, 2) AS test_mape_percent, n AS num_test_samples FROM (SELECT * FROM ({metrics()}))"
         .replace(", 6)", ", 12)")
     )
+    board = (
+        "cand AS (SELECT 0 AS ord, 'TrafficSpeed' AS model, actual_eta_minutes AS y, predicted AS p FROM scored"
+        " UNION ALL SELECT 1, 'OneSpeed', actual_eta_minutes, trip_distance_km / 28.0::DOUBLE * 60 FROM scored"
+        " UNION ALL SELECT 2, 'OneDuration', actual_eta_minutes, 20.0 FROM scored"
+        " UNION ALL SELECT 3, 'Copy', actual_eta_minutes, predicted FROM scored),"
+        " board AS (SELECT ord, model, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2,"
+        " sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae FROM cand GROUP BY ALL)"
+    )
+    out["candidate_leaderboard"] = on_feats(
+        "SELECT model, round(r2, 6) AS test_r2, round(rmse, 6) AS test_rmse, round(mae, 6) AS test_mae FROM board",
+        board,
+    )
+    out["best_candidate"] = on_feats(
+        "SELECT model, CAST(ord AS INTEGER) AS ord, round(rmse, 6) AS rmse FROM board"
+        " ORDER BY round(rmse, 9), ord LIMIT 1",
+        board,
+    )
     out["residual_table"] = on_feats(
         "SELECT actual_eta_minutes, round(predicted, 6) AS predicted,"
         " round(actual_eta_minutes - predicted, 6) AS residual FROM scored"
@@ -518,6 +535,13 @@ FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_m
     )
     out["ks_features"] = on_feats(records, sides("split"), ks())
     out["ks_features_sliced"] = out["ks_features"]
+    dummy_columns = [f"{c}_{v}" for c, values in ONE_HOT.items() for v in sorted(values)[1:]]
+    out["drift_all_columns"] = on_feats(
+        summary,
+        GROUPED,
+        f"sides AS (SELECT {NUMERIC_DOUBLES}, {DUMMIES}, actual_eta_minutes, is_test AS cur FROM grouped)",
+        ks([*NUMERIC, *dummy_columns, TARGET]),
+    )
     out["drift_summary"] = on_feats(summary, sides("split"), ks())
     out["stream_drift"] = out["drift_summary"]
     out["chi_square_drift"] = on_feats(
@@ -576,6 +600,7 @@ sol AS (SELECT m1, m2, my, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS
     )
 
     # Sources and sinks
+    out["append_round_trip"] = on_trips("SELECT * FROM trips")
     out["csv_round_trip"] = on_trips("SELECT * FROM trips")
     out["staged_batches"] = on_trips("SELECT trip_id, traffic_level, traffic_level AS batch FROM trips")
     out["ragged_log"] = on_log(

@@ -292,6 +292,30 @@ def evaluation_report(spark, sf_dir):
     return metrics.evaluation_report(scored(spark, sf_dir), TARGET, PREDICTED)
 
 
+@query
+def candidate_leaderboard(spark, sf_dir):
+    """Untrained candidates by error: speed by traffic, one speed for all, one duration for all."""
+    return rounded(models.leaderboard(untrained_metrics(spark, sf_dir)), "test_r2", "test_rmse", "test_mae")
+
+
+@query
+def best_candidate(spark, sf_dir):
+    """The candidate with the lowest error; the last one ties with the first and loses."""
+    return rounded(models.best_model(untrained_metrics(spark, sf_dir)), "rmse")
+
+
+def untrained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scored(spark, sf_dir).withColumns(
+        {
+            "one_speed": F.col("trip_distance_km") / F.lit(28.0) * 60.0,
+            "one_duration": F.lit(20.0),
+            "split": F.lit("test"),
+        }
+    )
+    columns = {"TrafficSpeed": PREDICTED, "OneSpeed": "one_speed", "OneDuration": "one_duration", "Copy": PREDICTED}
+    return metrics.compared_metrics(rows, TARGET, columns, by=["split"])
+
+
 @query
 def residual_table(spark, sf_dir):
     table = metrics.residuals(scored(spark, sf_dir), TARGET, PREDICTED)
@@ -403,6 +427,16 @@ def drift_summary(spark, sf_dir):
     return as_text(drift.drift_summary(ks_features(spark, sf_dir)), "drifted_features")
 
 
+@query
+def drift_all_columns(spark, sf_dir):
+    """Every numeric column of the encoded table, dummies and target included."""
+    rows = stored_features(spark, sf_dir)
+    model = fitted(rows)
+    tagged = model.transform(rows, keep=[TARGET, "is_test"]).withColumnRenamed("is_test", drift.SIDE)
+    columns = [*model.columns, TARGET]
+    return as_text(drift.drift_summary(drift.feature_drift(tagged, columns, method="series")), "drifted_features")
+
+
 @query
 def drift_report(spark, sf_dir):
     rows = materialize(numeric_rows(featured(spark, sf_dir), "is_test"), "split-rows")
@@ -522,9 +556,24 @@ def batch_scoring(spark, sf_dir):
     return answers.drop("timestamp")
 
 
+@query
+def model_info(spark, sf_dir):
+    return models.model_info(best_model_record(spark, sf_dir), len(NUMERIC))
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
+@query
+def append_round_trip(spark, sf_dir):
+    """A table, and a batch appended to it without a rewrite."""
+    trips = fixtures.trips(spark, sf_dir)
+    is_batch = F.col("trip_id").startswith("dup-")
+    path = writers.write_table(trips.where(~is_batch), scratch_path(spark, "raw"))
+    writers.append_table(trips.where(is_batch), path)
+    return readers.read_table(spark, path)
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     path = writers.write_table(fixtures.trips(spark, sf_dir), scratch_path(spark, "trips-csv"), "csv")

@@ -140,10 +140,14 @@ def dedupe_stream(log: DataFrame, folder: str, key: Sequence[str] = ("event_id",
     return append_to(log.dropDuplicatesWithinWatermark(list(key)), folder)
 
 
-def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str) -> StreamingQuery:
-    """Join predictions with actual durations; both sides carry a watermark and state is bounded by
-    the four hours within which an actual must arrive."""
-    return append_to(metrics.monitored_errors(predictions, actuals), folder)
+def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str, key: str = "event_id") -> StreamingQuery:
+    """Join predictions with actual durations, repeated rows dropped on both sides.
+
+    Both sides carry a watermark; the join state is bounded by the four hours within which an actual
+    must arrive.
+    """
+    once = [side.dropDuplicatesWithinWatermark([key]) for side in (predictions, actuals)]
+    return append_to(metrics.match_actuals(*once, key), folder)
 
 
 def drift_stream(
