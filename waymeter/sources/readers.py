@@ -59,17 +59,14 @@ def read_log_text(spark: SparkSession, path: str) -> DataFrame:
     ``is_legacy`` marks lines that do not have the nine current fields; ``raw_line`` keeps their
     text. ``ts`` reads naive and offset timestamps alike (naive ones are UTC).
     """
-    schema = T.StructType([*PREDICTION_LOG.fields, T.StructField("raw_line", T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "raw_line")
-        # Field counts are only checked when the parser sees every field of the line.
-        .option("columnPruning", False)
-        .csv(path)
-    )
-    return raw.withColumn("is_legacy", F.col("raw_line").isNotNull()).withColumn(
-        "ts", F.col("timestamp").try_cast("timestamp")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PREDICTION_LOG)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = F.from_csv("value", f"{fields}, _bad string", options)
+    return spark.read.text(path).select(parsed.alias("p"), F.col("value").alias("raw_line")).select(
+        *[F.col(f"p.{f.name}") for f in PREDICTION_LOG],
+        F.col("p._bad").isNotNull().alias("is_legacy"),
+        "raw_line",
+        F.col("p.timestamp").try_cast("timestamp").alias("ts"),
     )
 
 
