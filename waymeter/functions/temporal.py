@@ -1,7 +1,8 @@
 """Dates, clock times and what is derived from them.
 
-Parsing rewrites the text into the ISO form and uses ``try_cast``, so a malformed value costs a null
-and not an exception, and no formatter runs per row.
+Parsing rewrites or extracts text by pattern and uses ``try_cast``, so a malformed value costs a null
+and not an exception, and no formatter runs per row. Each parser refers to its argument once: when the
+argument is itself an expression, the optimizer does not evaluate it again per reference.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from waymeter.params import WEEKDAYS
 # Accepted text forms.
 DAY_FIRST = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-CLOCK = r"^\d{1,2}:\d{1,2}$"
+CLOCK = r"^([01]?\d|2[0-3]):([0-5]?\d)$"
 
 
 def trip_date(c: Column) -> Column:
@@ -24,7 +25,7 @@ def trip_date(c: Column) -> Column:
 
 def iso_date(c: Column) -> Column:
     """Year-month-day text (one-digit month and day allowed), else null."""
-    return F.when(c.rlike(ISO_DATE), c.try_cast("date"))
+    return F.regexp_extract(c, ISO_DATE, 0).try_cast("date")
 
 
 def day_first_date(c: Column) -> Column:
@@ -34,21 +35,12 @@ def day_first_date(c: Column) -> Column:
 
 def clock_hour(c: Column) -> Column:
     """Hour of ``H:m`` text, null unless the whole text is a valid clock time."""
-    hour, minute = _clock_parts(c)
-    return F.when((hour < 24) & (minute < 60), hour)
+    return F.regexp_extract(c, CLOCK, 1).try_cast("int")
 
 
 def clock_minute(c: Column) -> Column:
     """Minute of ``H:m`` text, null unless the whole text is a valid clock time."""
-    hour, minute = _clock_parts(c)
-    return F.when((hour < 24) & (minute < 60), minute)
-
-
-def _clock_parts(c: Column) -> tuple[Column, Column]:
-    fits = c.rlike(CLOCK)
-    hour = F.when(fits, F.substring_index(c, ":", 1).try_cast("int"))
-    minute = F.when(fits, F.substring_index(c, ":", -1).try_cast("int"))
-    return hour, minute
+    return F.regexp_extract(c, CLOCK, 2).try_cast("int")
 
 
 def weekday_name(d: Column) -> Column:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymeter.sources.readers import spread_small
 from waymeter.sources.locations import LOCATION_NAMES
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def trips_from(lineitem: DataFrame, duplicates: bool = True) -> DataFrame:
         F.concat(F.col("_copy"), _trip_key()).alias("trip_id"),
         _name_at(pickup).alias("pickup_location"),
         _name_at(drop).alias("drop_location"),
-        F.when(F.col("l_linenumber") == 7, F.date_format("l_shipdate", "yyyy-MM-dd"))
+        F.when(F.col("l_linenumber") == 7, F.col("l_shipdate").cast("date").cast("string"))
         .otherwise(F.date_format("l_shipdate", "dd-MM-yyyy"))
         .alias("pickup_date"),
         _clock_text().alias("pickup_time"),
@@ -86,7 +87,7 @@ def requests_from(lineitem: DataFrame) -> DataFrame:
         .alias("pickup_location"),
         _name_at(F.col("l_partkey") % 22).alias("drop_location"),
         F.when(F.col("l_linenumber") == 6, F.date_format("l_shipdate", "dd-MM-yyyy"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .otherwise(F.col("l_shipdate").cast("date").cast("string"))
         .alias("pickup_date"),
         F.when(part == 3, "25:61").when(part == 4, "8:15").otherwise(_clock_text()).alias("pickup_time"),
         F.when(F.col("l_linenumber") == 5, None)
@@ -132,6 +133,8 @@ def _hour() -> Column:
 
 def _clock_text() -> Column:
     minute = (F.col("l_partkey") + F.col("l_linenumber")) % 60
-    return F.concat_ws(
-        ":", F.lpad(_hour().cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0")
-    )
+    return F.concat(_two_digits(_hour(), 24), F.lit(":"), _two_digits(minute, 60))
+
+
+def _two_digits(n: Column, limit: int) -> Column:
+    return F.get(F.array(*[F.lit(f"{i:02d}") for i in range(limit)]), n.cast("int"))

@@ -43,6 +43,17 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table over all cores if its scan has fewer splits than there are cores.
+
+    Splits are cut by size, down to a few megabytes, so only a table of a few megabytes per core is
+    redistributed. Such a file often holds a single row group and would keep one core busy. Larger
+    tables are read as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_report(
     spark: SparkSession, path: str, schema: T.StructType, defaults: Mapping[str, object] | None = None
 ) -> DataFrame:
