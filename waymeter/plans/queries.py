@@ -230,7 +230,8 @@ def train_test_split(spark, sf_dir):
 
 @query
 def exact_split(spark, sf_dir):
-    halves = features.exact_split(cleaned(spark, sf_dir)).groupBy("is_test")
+    trips = materialize(cleaned(spark, sf_dir), "clean")
+    halves = features.exact_split(trips).groupBy("is_test")
     return halves.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(TARGET), 4).alias("total"))
 
 
