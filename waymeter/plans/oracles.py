@@ -542,6 +542,16 @@ FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_m
         f"sides AS (SELECT {NUMERIC_DOUBLES}, {DUMMIES}, actual_eta_minutes, is_test AS cur FROM grouped)",
         ks([*NUMERIC, *dummy_columns, TARGET]),
     )
+    out["ks_features_auto"] = out["ks_features"]
+    out["drift_report"] = on_feats(
+        "SELECT 'train' AS reference_dataset, 'test' AS current_dataset,"
+        " (SELECT count(*) FROM sides WHERE NOT cur) AS reference_rows,"
+        " (SELECT count(*) FROM sides WHERE cur) AS current_rows, s.*, feature, p < 0.05 AS drift_detected,"
+        " round(p, 5) AS p_value, round(d, 5) AS ks_statistic, round(ra, 3) AS ref_mean, round(ca, 3) AS curr_mean"
+        f" FROM ks CROSS JOIN ({summary}) s",
+        f"sides AS (SELECT {NUMERIC_DOUBLES}, actual_eta_minutes, is_test AS cur FROM feats)",
+        ks(),
+    )
     out["drift_summary"] = on_feats(summary, sides("split"), ks())
     out["stream_drift"] = out["drift_summary"]
     out["chi_square_drift"] = on_feats(

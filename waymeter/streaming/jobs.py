@@ -24,6 +24,8 @@ from waymeter.params import DriftRules, TripRules
 from waymeter.session import materialize
 
 WATERMARK = "10 minutes"
+# Groups that the copies of one key are spread over before they meet.
+SALTS = 16
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -135,9 +137,20 @@ def histogram_stream(log: DataFrame, folder: str) -> StreamingQuery:
     return keep_latest(metrics.streamed_sliding_histogram(log), folder)
 
 
+def drop_repeats(df: DataFrame, key: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Keep the first row of each key within the watermark.
+
+    In two steps, so that a key that floods the stream is not one task's work: first per (key, salt),
+    where the salt comes from the input partition, then per key over at most ``salts`` rows of a
+    micro-batch.
+    """
+    salted = df.withColumn("_salt", F.spark_partition_id() % salts)
+    return salted.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(list(key))
+
+
 def dedupe_stream(log: DataFrame, folder: str, key: Sequence[str] = ("event_id",)) -> StreamingQuery:
     """Drop repeated requests; the state of a key is dropped once the watermark has passed it."""
-    return append_to(log.dropDuplicatesWithinWatermark(list(key)), folder)
+    return append_to(drop_repeats(log, key), folder)
 
 
 def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str, key: str = "event_id") -> StreamingQuery:
@@ -146,7 +159,7 @@ def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str, key: s
     Both sides carry a watermark; the join state is bounded by the four hours within which an actual
     must arrive.
     """
-    once = [side.dropDuplicatesWithinWatermark([key]) for side in (predictions, actuals)]
+    once = [drop_repeats(side, [key]) for side in (predictions, actuals)]
     return append_to(metrics.match_actuals(*once, key), folder)
 
 
