@@ -69,6 +69,18 @@ def test_a_value_that_most_rows_share(spark):
     assert whole["wasserstein"] == pytest.approx(0.5, abs=1e-6) and sliced["wasserstein"] == pytest.approx(0.5, abs=1e-6)
 
 
+def test_distances_do_not_depend_on_partitions(spark, partitions):
+    rng = np.random.default_rng(7)
+    ref, cur = table(spark, x=rng.normal(size=500)), table(spark, x=rng.normal(0.1, 1, 400))
+    found = set()
+    for n in (1, 4, 17):
+        partitions(n)
+        for values_per_task in (4_000_000, 37):
+            r = drift.ks_table(drift.tag_sides(ref, cur), ["x"], values_per_task).first()
+            found.add((r["ks"], round(r["wasserstein"], 12), round(r["ref_avg"], 12)))
+    assert len(found) == 1
+
+
 def test_missing_values_and_small_samples(spark):
     ref = table(spark, a=[1, 2, 3, 4, None, float("nan")], b=[1, 2, 3, 4, 5, None])
     cur = table(spark, a=range(10), b=range(10))

@@ -78,6 +78,30 @@ def test_prediction_log_is_partitioned_by_day(spark, tmp_path):
     assert back.count() == 2 and "log_date" in back.columns
 
 
+def test_log_days_are_pruned(spark, tmp_path):
+    days = [("x", "2026-08-27 10:00:00"), ("y", "2026-08-28 10:00:00"), ("z", "2026-09-01 10:00:00")]
+    df = spark.createDataFrame(days, "pickup_location string, timestamp string")
+    path = writers.append_predictions(df.withColumn("timestamp", F.to_timestamp("timestamp")), str(tmp_path / "log"))
+    some = readers.read_log_days(spark, path, "2026-08-28", "2026-08-31")
+    assert [r["pickup_location"] for r in some.collect()] == ["y"]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan
+
+
+def test_small_tables_are_spread_and_large_ones_are_not(spark, tmp_path):
+    one = str(tmp_path / "one")
+    spark.range(10).coalesce(1).write.parquet(one)
+    assert readers.spread_small(spark.read.parquet(one)).rdd.getNumPartitions() == 4
+    many = str(tmp_path / "many")
+    spark.range(10).repartition(6).write.parquet(many)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 1024 * 1024))
+    try:
+        df = readers.spread_small(spark.read.parquet(many))
+        assert "RoundRobin" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_report_defaults(spark, tmp_path):
     (tmp_path / "r.json").write_text('{\n "share": null,\n "name": "x"\n}')
     from pyspark.sql import types as T

@@ -107,7 +107,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
     All bins but the last are half-open; the last holds the maximum. If every value is the same, the
     range is widened by 0.5 on both sides. The bounds are a scalar subquery, so there is no join with
-    a one-row table and no driver round trip.
+    a one-row table and no driver round trip. ``df`` is read twice: store the column first if computing
+    it takes a shuffle.
     """
     value = F.col(column)
     widen = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)

@@ -325,13 +325,14 @@ def residual_table(spark, sf_dir):
 
 @query
 def residual_histogram(spark, sf_dir):
-    rows = metrics.residuals(scored(spark, sf_dir), TARGET, PREDICTED)
-    return rounded(metrics.histogram(rows, "residual", 40), "lower", "upper")
+    rows = metrics.residuals(scored(spark, sf_dir), TARGET, PREDICTED).select("residual")
+    return rounded(metrics.histogram(materialize(rows, "residuals"), "residual", 40), "lower", "upper")
 
 
 @query
 def eta_histogram(spark, sf_dir):
-    return rounded(metrics.histogram(scored(spark, sf_dir), PREDICTED, 25), "lower", "upper")
+    rows = materialize(scored(spark, sf_dir).select(PREDICTED), "predictions")
+    return rounded(metrics.histogram(rows, PREDICTED, 25), "lower", "upper")
 
 
 @query

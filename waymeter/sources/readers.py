@@ -81,6 +81,12 @@ def read_log_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_log_days(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
+    """The stored prediction log from the first to the last day; other days' files are not opened."""
+    day = F.col("log_date")
+    return spark.read.parquet(path).where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
 def current_log(log: DataFrame) -> DataFrame:
     """Rows of the current layout only."""
     return log.where(~F.col("is_legacy")).drop("raw_line", "is_legacy")
