@@ -596,17 +596,34 @@ FROM (SELECT b, c, (c - b) / b AS inc, drifted / tested >= 0.3 AS drift, round(d
     )
 
     # Models
-    out["ridge_fit"] = on_feats(
-        """SELECT 'trip_distance_km' AS term, round(b1, 6) AS coefficient FROM sol
-UNION ALL SELECT 'traffic_level', round(b2, 6) FROM sol
-UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
-        f"""xy AS (SELECT trip_distance_km AS x1, CAST({ORDINAL} AS DOUBLE) AS x2, actual_eta_minutes AS y
+    ridge = f"""xy AS (SELECT trip_distance_km AS x1, CAST({ORDINAL} AS DOUBLE) AS x2, actual_eta_minutes AS y
   FROM feats WHERE NOT is_test),
 mom AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) + 1.0 AS s11,
     var_pop(x2) * count(*) + 1.0 AS s22, covar_pop(x1, x2) * count(*) AS s12,
     covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y FROM xy),
 sol AS (SELECT m1, m2, my, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
-    (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM mom)""",
+    (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM mom)"""
+    out["ridge_fit"] = on_feats(
+        """SELECT 'trip_distance_km' AS term, round(b1, 6) AS coefficient FROM sol
+UNION ALL SELECT 'traffic_level', round(b2, 6) FROM sol
+UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
+        ridge,
+    )
+    fitted = f"my + b1 * (trip_distance_km - m1) + b2 * ({ORDINAL} - m2)"
+    out["ridge_metrics"] = on_feats(
+        "SELECT split, 0 AS ord, 'RidgeRegression' AS model, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2,"
+        " round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,"
+        " round(avg(abs(y - p) / y), 6) AS mape, count(*) AS n FROM"
+        " (SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, actual_eta_minutes AS y,"
+        f" {fitted} AS p FROM feats CROSS JOIN sol) GROUP BY split",
+        ridge,
+    )
+    out["ridge_responses"] = on_feats(
+        "SELECT request_id, true AS success, round(p, 2) AS eta_minutes, round(p * 60, 1) AS eta_seconds,"
+        " trip_distance_km AS calculated_distance_km, traffic_level AS estimated_traffic_level, pickup_location,"
+        " drop_location, pickup_date, pickup_time"
+        f" FROM (SELECT *, greatest({fitted}, 0.5) AS p FROM reqfeats CROSS JOIN sol)",
+        ridge, REQUESTS, CHECKED, REQFEATS,
     )
 
     # Sources and sinks

@@ -513,6 +513,31 @@ def ridge_fit(spark, sf_dir):
     return rounded(models.ridge_coefficients(model, names), "coefficient")
 
 
+def two_feature_ridge(spark: SparkSession, sf_dir: str):
+    """A ridge on distance and traffic, whose solution SQL can state, with its train and test rows."""
+    plain = features.FeatureModel(kept={}, categories={}, numeric=("trip_distance_km", "traffic_level"))
+    rows = plain.transform(featured(spark, sf_dir), keep=[TARGET, "is_test"])
+    table = plain.assemble(materialize(rows, "ridge-rows")).select("features", TARGET, "is_test")
+    train, test = (table.where(part).drop("is_test") for part in ("NOT is_test", "is_test"))
+    return plain, models.fit_ridge(train), train, test
+
+
+@query
+def ridge_metrics(spark, sf_dir):
+    _, model, train, test = two_feature_ridge(spark, sf_dir)
+    table = models.model_metrics({"RidgeRegression": model}, train, test)
+    return rounded(table, "r2", "mae", "rmse", "mape")
+
+
+@query
+def ridge_responses(spark, sf_dir):
+    """Validated requests scored with a fitted model."""
+    plain, model, _, _ = two_feature_ridge(spark, sf_dir)
+    valid, _ = validate.split_requests(fixtures.requests(spark, sf_dir))
+    answers = score.responses(score.score_requests(valid, score.model_predictor(plain, model)), "request_id")
+    return answers.drop("timestamp")
+
+
 @query
 def model_leaderboard(spark, sf_dir):
     train, test = numeric_split(spark, sf_dir)
