@@ -78,6 +78,28 @@ def test_count_and_histogram_streams(spark, events, tmp_path):
         assert rows(spark.read.parquet(f"{out}/data")) == rows(twin(log))
 
 
+@pytest.mark.parametrize("job,twin,minutes", [
+    (jobs.count_stream, metrics.requests_per_minute, 1), (jobs.histogram_stream, metrics.sliding_histogram, 5),
+])
+def test_finished_windows_are_appended_once(spark, events, tmp_path, job, twin, minutes):
+    jobs.finish(job(log_stream(spark, events), str(tmp_path), finished_only=True))
+    log = fixtures.prediction_log(spark, SF)
+    got, want = rows(spark.read.parquet(f"{tmp_path}/data")), rows(twin(log))
+    assert len(got) == len(set(got)) and set(got) <= set(want)
+    # Only windows that end within ten minutes of the last event may still be open.
+    horizon = log.agg(F.max("ts") - F.expr(f"INTERVAL {10 + minutes + 1} MINUTES")).first()[0]
+    closed = rows(twin(log).where(F.col("window_start") < F.lit(horizon)))
+    assert closed and set(closed) <= set(got)
+
+
+def test_quarantine_stream(spark, lineitem, tmp_path):
+    folder, schema = lineitem
+    requests = fixtures.requests_from(jobs.file_stream(spark, folder, schema, files_per_batch=1))
+    jobs.finish(jobs.quarantine_stream(requests, str(tmp_path)))
+    _, rejected = validate.split_requests(fixtures.requests(spark, SF))
+    assert rows(spark.read.parquet(f"{tmp_path}/data")) == rows(rejected)
+
+
 def test_dedupe_stream(spark, events, tmp_path):
     doubled = log_stream(spark, events).withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).drop("again")
     jobs.finish(jobs.dedupe_stream(doubled, str(tmp_path)))

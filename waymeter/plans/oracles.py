@@ -361,7 +361,8 @@ UNION ALL SELECT 'unknown_drop', drop_location, count(*) FROM labelled
         labelled,
     )
     out["missing_columns"] = " UNION ALL ".join(
-        f"SELECT 'missing_column' AS \"check\", {text(c)} AS subject, CAST(1 AS BIGINT) AS n"
+        f"SELECT 'missing_column' AS \"check\", {text(c)} AS subject, CAST(1 AS BIGINT) AS n,"
+        " (SELECT count(*) FROM lineitem) AS rows"
         for c in REQUIRED_COLUMNS if c in ("traffic_level", TARGET)
     )
     out["unknown_places"] = on_requests(
@@ -644,6 +645,7 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
         " OR passenger_count <= 0 OR trip_distance_km <= 0",
         STANDARD,
     )
+    out["stream_quarantine"] = out["request_quarantine"]
     out["stream_dedupe"] = on_log(
         "SELECT event_id, endpoint, status, predicted_eta_minutes, actual_eta_minutes FROM log"
     )

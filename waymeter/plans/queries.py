@@ -131,7 +131,9 @@ def dataset_issues_strict(spark, sf_dir):
 
 @query
 def missing_columns(spark, sf_dir):
-    return validate.dataset_issues(fixtures.requests(spark, sf_dir))
+    """A request table is no trip table; with the number of rows concerned."""
+    requests = fixtures.requests(spark, sf_dir)
+    return validate.dataset_issues(requests).withColumn("rows", requests.agg(F.count(F.lit(1))).scalar())
 
 
 @query
@@ -719,6 +721,13 @@ def stream_scored(spark, sf_dir):
     return spark.read.parquet(f"{folder}/data").drop("timestamp")
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    requests = fixtures.requests_from(streamed(spark, sf_dir, "lineitem"))
+    folder = run(spark, "stream-quarantine", lambda f: jobs.quarantine_stream(requests, f))
+    return as_text(spark.read.parquet(f"{folder}/data"), "reasons")
+
+
 @query
 def stream_counts(spark, sf_dir):
     log = log_stream(spark, sf_dir)

@@ -127,14 +127,27 @@ def score_stream(requests: DataFrame, folder: str, predict: score.Predictor, *ex
     return append_to(score.log_rows(score.score_requests(valid, predict), *extra), folder)
 
 
-def count_stream(log: DataFrame, folder: str) -> StreamingQuery:
-    """Requests per minute, status and endpoint; ``ts`` carries the watermark."""
-    return keep_latest(metrics.requests_per_minute(log), folder)
+def quarantine_stream(requests: DataFrame, folder: str) -> StreamingQuery:
+    """Append the rejected requests with their reasons."""
+    _, rejected = validate.split_requests(requests)
+    return append_to(rejected, folder)
 
 
-def histogram_stream(log: DataFrame, folder: str) -> StreamingQuery:
-    """Sliding five-minute histogram of predicted minutes."""
-    return keep_latest(metrics.streamed_sliding_histogram(log), folder)
+def count_stream(log: DataFrame, folder: str, finished_only: bool = False) -> StreamingQuery:
+    """Requests per minute, status and endpoint; ``ts`` carries the watermark.
+
+    By default the table is current after every micro-batch and holds all windows, for dashboards and
+    backfills. ``finished_only`` appends a window once the watermark has passed it and then drops its
+    state, which is what a job that never ends needs.
+    """
+    table = metrics.requests_per_minute(log)
+    return append_to(table, folder) if finished_only else keep_latest(table, folder)
+
+
+def histogram_stream(log: DataFrame, folder: str, finished_only: bool = False) -> StreamingQuery:
+    """Sliding five-minute histogram of predicted minutes; ``finished_only`` as in :func:`count_stream`."""
+    table = metrics.streamed_sliding_histogram(log)
+    return append_to(table, folder) if finished_only else keep_latest(table, folder)
 
 
 def drop_repeats(df: DataFrame, key: Sequence[str], salts: int = SALTS) -> DataFrame:
