@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import boosted_rules, packing, rule_ensemble, stats
+from waymeter.llm import boosted_rules, minhash_dedup, packing, rank_profiles, rule_ensemble, spaced_seeds, stats
 from waymeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.components_of(table(spark, sf_dir, "documents"), size=4)
+
+
+def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = stats.part_of(F.col("doc_id"), rank_profiles.FOLDS) == 0
+    known = rank_profiles.profiles(docs.where(~held_out))
+    return rank_profiles.identify(docs.select("doc_id", "text"), known, "found").select(
+        "doc_id", held_out.alias("held_out"), F.col("found.lang_pred").alias("lang_pred"), F.col("found.score").alias("score")
+    )
+
+
 def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ensemble = rule_ensemble.train(docs, table(spark, sf_dir, "labels"))
@@ -37,7 +54,7 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_rule_ensemble, op9_packing, op10_boosted_rules)}
+    return {f.__name__: f for f in (op3_spaced_seeds, op4_minhash_dedup, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
 
 
 def statements() -> dict[str, str]:
