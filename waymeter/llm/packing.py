@@ -11,10 +11,11 @@ whose inner term d[j] + p[j] does not depend on i, so the minimum moves along in
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,17 @@ STRETCH = 64 * SIZE
 #: Words whose ids a task remembers.
 REMEMBERED = 300_000
 #: Bytes of text encoded at once: repeated words of a slice are encoded once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 PIECES = (
     "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 )
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
+_AFTER_LATIN = "\u0250"
+#: Byte-level tokenizers name printable bytes of Latin-1 by themselves, and the others by the code points from 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_NAMES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _KINDS = np.zeros(256, np.int8)
 _KINDS[[b for b in range(128) if chr(b).isalpha()]] = 1
 _KINDS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2
@@ -54,24 +59,51 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, list[int]] = {}
+        self.known: dict[int, bytes] = {}
+
+    def ids_of(self, parts: list[str]) -> list[bytes]:
+        """32-bit ids of each part.
+
+        A part of Latin letters is a single word to the tokenizer: its model takes it lower-cased, byte by byte.
+        """
+        out, rest = [b""] * len(parts), []
+        tokenize = self.tokenizer.model.tokenize
+        for k, part in enumerate(parts):
+            low = part.lower()
+            if low.isalpha() and max(low) < _AFTER_LATIN:
+                if not low.isascii():
+                    low = low.encode().decode("latin-1").translate(_BYTE_NAMES)
+                out[k] = array("I", [t.id for t in tokenize(low)]).tobytes()
+            else:
+                rest.append(k)
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([parts[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = array("I", e.ids).tobytes()
+        return out
 
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, row of each id, ends: ids after which a sentence ends)."""
-        s = W.spans(offsets, data, lower=False, kinds=_KINDS)
-        values, first, at = np.unique(s.hash, return_index=True, return_inverse=True)
+        s = W.spans(offsets, data, kinds=_KINDS)
+        bars = np.flatnonzero(data == ord("|"))
+        if len(bars):  # may be a special token, whose case matters
+            at = np.unique(np.searchsorted(s.start, bars, "right") - 1)
+            s.hash[at] = W.mix(W.spans(offsets, data, lower=False, kinds=_KINDS).hash[at], 9)
+        order = np.argsort(s.hash)
+        opens = np.append(True, s.hash[order][1:] != s.hash[order][:-1])[: len(order)]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.cumsum(opens) - 1
+        first = order[opens]
         if len(self.known) > REMEMBERED:
             self.known = {}
-        known, keys = self.known, values.tolist()
-        new = np.array([k for k, v in enumerate(keys) if v not in known], np.int64)
+        known, keys = self.known, s.hash[first].tolist()
+        new = [k for k, v in enumerate(keys) if v not in known]
         raw = data.tobytes()
-        texts = [str(raw[a:b], "utf-8", "replace") for a, b in zip(s.start[first[new]].tolist(), s.end[first[new]].tolist(), strict=True)]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        known.update(zip(values[new].tolist(), [e.ids for e in found], strict=True))
+        where = zip(s.start[first[new]].tolist(), s.end[first[new]].tolist(), strict=True)
+        known.update(zip([keys[k] for k in new], self.ids_of([str(raw[a:b], "utf-8", "replace") for a, b in where]), strict=True))
         each = [known[k] for k in keys]
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum()))
+        lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat = np.frombuffer(b"".join(each), np.uint32)
         starts = np.cumsum(lengths) - lengths
         n = lengths[at]
         ends = np.cumsum(n)
