@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import boosted_rules, chat_format, label_shards, minhash_dedup, packing, rank_profiles, rule_ensemble, spaced_seeds, stats
+from waymeter.llm import boosted_rules, chat_format, label_shards, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
 from waymeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,41 @@ def op5_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_shards.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(revisits.records_of(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    text = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"], F.lit("\n"))), "")
+    return found.select("record_id", "canonical_url", "ts", "original_id", "outcome", text.alias("headers"))
+
+
+OP6_SQL = r"""
+WITH page AS (
+  SELECT page_id, url, coalesce(length(html), 0) AS n, md5(coalesce(html, '')) AS digest,
+    regexp_replace(lower(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(:[0-9]*)?([^?#]*)(\?[^#]*)?', 1)), '^www\.', '') AS host,
+    regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(:[0-9]*)?([^?#]*)(\?[^#]*)?', 2) AS port,
+    regexp_replace(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(:[0-9]*)?([^?#]*)(\?[^#]*)?', 3), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(substr(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(:[0-9]*)?([^?#]*)(\?[^#]*)?', 4), 2), '&'),
+      lambda q: q <> '' AND NOT regexp_matches(lower(q), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=.*)?$'))), '&') AS query
+  FROM pages
+), keyed AS (
+  SELECT page_id, n, digest, CASE WHEN host <> '' THEN host || CASE WHEN port IN (':', ':80', ':443') THEN '' ELSE port END
+    || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS key
+  FROM page
+), asked AS (SELECT *, page_id + 1 + n % 50 AS ts FROM keyed),
+stored AS (SELECT key, page_id AS ts, page_id * 2 AS id, digest, n FROM keyed WHERE n % 11 <> 0),
+matched AS (
+  SELECT a.page_id, a.key, a.ts, a.n, a.digest, max(s.ts) AS stored_ts
+  FROM asked a LEFT JOIN stored s ON s.key = a.key AND s.ts < a.ts GROUP BY ALL
+)
+SELECT m.page_id * 2 + 1 AS record_id, m.key AS canonical_url, m.ts AS ts, s.id AS original_id,
+  CASE WHEN s.id IS NULL THEN 'no_original' WHEN m.n % 5 = 0 THEN 'unchecked'
+    WHEN m.n % 7 = 0 OR m.digest <> s.digest THEN 'changed' ELSE 'resolved' END AS outcome,
+  CASE WHEN s.id IS NOT NULL AND m.n % 5 <> 0 AND m.n % 7 <> 0 AND m.digest = s.digest THEN
+    'cache-control: max-age=60' || chr(10) || 'content-length: ' || s.n || chr(10) || 'content-type: text/html' || chr(10)
+    || 'date: ' || m.ts || chr(10) || 'etag: W/"' || m.digest || '"' || chr(10) || 'server: archive' || chr(10) END AS headers
+FROM matched m LEFT JOIN stored s ON s.key = m.key AND s.ts = m.stored_ts
+"""
+
+
 def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = stats.part_of(F.col("doc_id"), rank_profiles.FOLDS) == 0
@@ -103,9 +138,9 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat_format, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_chat_format, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_chat_format": OP1_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_revisits": OP6_SQL}
