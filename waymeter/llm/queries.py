@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import boosted_rules, chat_format, label_shards, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
+from waymeter.llm import boosted_rules, chat_format, interpolation, label_shards, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
 from waymeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ FROM escaped GROUP BY conv_id
 """
 
 
+def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -138,7 +142,7 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat_format, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_chat_format, op2_interpolation, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
 
 
 def statements() -> dict[str, str]:
