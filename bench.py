@@ -14,7 +14,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from waymeter.operators import models  # noqa: E402
 from waymeter.plans import queries  # noqa: E402
 from waymeter.session import build_session  # noqa: E402
 
@@ -77,9 +76,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 3)
     if os.environ.get("BENCH_FULL_MODELS"):
         start = time.perf_counter()
-        train, test = queries.numeric_split(spark, sf_dir)
-        fits = models.fit_all(train, models.candidates())
-        drain(models.model_metrics(fits, train, test))
+        drain(queries.candidate_metrics(spark, sf_dir))
         seconds["all_candidates_default_sizes"] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(

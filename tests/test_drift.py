@@ -130,12 +130,15 @@ def test_series_is_near_the_exact_value(spark):
     assert df.select(drift.series_p_value(F.col("ks"), F.col("n"), F.col("m"))).first()[0] == 1.0
 
 
-def test_auto_takes_the_series_for_large_samples(spark):
-    t = spark.createDataFrame([("s", 0.3, 20, 20), ("l", 0.01, 20_000, 9_000)], "feature string, ks double, ref_n long, cur_n long")
-    got = {r["feature"]: r["p"] for r in drift.with_p_value(t).collect()}
-    series = {r["feature"]: r["p"] for r in drift.with_p_value(t, "series").collect()}
-    assert got["s"] == pytest.approx(drift.exact_tail(0.3, 20, 20)) and got["s"] != series["s"]
-    assert got["l"] == series["l"]
+def test_one_p_value_for_all_sample_sizes_and_the_exact_one_on_request(spark):
+    t = spark.createDataFrame([("s", 0.3, 20, 20), ("l", 0.05, 2_000, 900)], "feature string, ks double, ref_n long, cur_n long")
+    p = lambda *a: {r["feature"]: r["p"] for r in drift.with_p_value(t, *a).collect()}
+    assert p() == p("series")
+    exact = p("exact")
+    assert exact["s"] == pytest.approx(drift.exact_tail(0.3, 20, 20)) and exact["s"] != p()["s"]
+    assert exact["l"] == pytest.approx(p()["l"], abs=0.01)
+    with pytest.raises(ValueError):
+        drift.with_p_value(t, "auto")
 
 
 def test_merged_counts_equal_one_pass(spark):
@@ -209,12 +212,12 @@ def decide(spark, base, current, flag=False, share=0.0):
 def test_policy(spark):
     ok = decide(spark, 5.6, 5.7)
     assert ok["status"] == "HEALTHY" and not ok["retraining_triggered"]
-    assert ok["reasons"] == ["Model performance and data distributions are within healthy operational thresholds."]
+    assert ok["reasons"] == ["Error and inputs are within their limits."]
     bad = decide(spark, 5.825554072316037, 7.2)
     assert bad["status"] == "ACTION_REQUIRED_RETRAIN" and bad["rmse_increase_pct"] == 23.59 and bad["threshold_pct"] == 15.0
-    assert bad["reasons"] == ["RMSE degradation of 23.6% exceeded allowed threshold of 15.0%."]
+    assert bad["reasons"] == ["The error grew by 23.6%; up to 15.0% is allowed."]
     both = decide(spark, 5.6, 12.0, True, 0.4)
-    assert len(both["reasons"]) == 2 and both["reasons"][1].endswith("drift share of 40.0%.")
+    assert len(both["reasons"]) == 2 and both["reasons"][1].startswith("Inputs drifted: 40.0%")
 
 
 def test_policy_limits(spark):

@@ -95,9 +95,7 @@ def test_traffic_ordinal(spark):
     assert [r[0] for r in df.select(features.traffic_ordinal(F.col("t"))).collect()] == [0, 1, 2, 1, 1]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_rare_places(spark, monkeypatch, limit):
-    monkeypatch.setattr(features, "MAX_BROADCAST_BYTES", limit)
+def test_rare_places(spark):
     rows = [("Harlem", "Midtown")] * 25 + [("RareLoc1", "RareLoc2")] * 2 + [(None, "Midtown")]
     df = spark.createDataFrame(rows, "pickup_location string, drop_location string")
     rare = features.rare_values(df, below=20)

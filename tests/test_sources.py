@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from waymeter.session import materialize, shared_folder
@@ -115,3 +116,23 @@ def test_materialize_cuts_the_lineage(spark):
     df = materialize(spark.range(10).select((F.col("id") * 2).alias("v")), "test")
     assert df.agg(F.sum("v")).first()[0] == 90
     assert shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+
+
+def test_headers_that_differ_are_an_error_and_whole_numbers_stay_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("pickup_location,passenger_count\nA,2.0\nB,2.5\n")
+    rows = readers.read_trips_csv(spark, str(tmp_path)).orderBy("pickup_location").collect()
+    assert [r["passenger_count"] for r in rows] == [2, None]
+    (tmp_path / "b.csv").write_text("passenger_count,pickup_location\n1,C\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_trips_csv(spark, str(tmp_path)).collect()

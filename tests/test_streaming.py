@@ -74,8 +74,8 @@ def test_count_and_histogram_streams(spark, events, tmp_path):
         (jobs.histogram_stream, metrics.sliding_histogram),
     ):
         out = f"{tmp_path}/{job.__name__}"
-        jobs.finish(job(log_stream(spark, events), out))
-        assert rows(spark.read.parquet(f"{out}/data")) == rows(twin(log))
+        jobs.finish(job(log_stream(spark, events), out, finished_only=False))
+        assert rows(jobs.latest(spark, out)) == rows(twin(log))
 
 
 @pytest.mark.parametrize("job,twin,minutes", [
@@ -153,3 +153,11 @@ def test_a_failing_stream_raises(spark, events, tmp_path):
 
     with pytest.raises(Exception, match="no space"):
         jobs.finish(jobs.write_batches(log_stream(spark, events), str(tmp_path), write))
+
+
+def test_clean_stream_accepts_trips_without_a_target(spark, lineitem, tmp_path):
+    folder, schema = lineitem
+    raw = fixtures.trips_from(jobs.file_stream(spark, folder, schema)).drop("actual_eta_minutes")
+    jobs.finish(jobs.clean_stream(raw, str(tmp_path)))
+    batch = clean.clean(fixtures.trips(spark, SF).drop("actual_eta_minutes"))
+    assert rows(jobs.cleaned_so_far(spark, str(tmp_path))) == rows(batch)

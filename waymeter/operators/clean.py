@@ -59,6 +59,17 @@ def drop_unusable(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     return df
 
 
+def rejected(df: DataFrame, rules: TripRules = TripRules()) -> Column:
+    """The null-safe complement of :func:`drop_unusable`."""
+    bad = any_missing(df)
+    if rules.target in df.columns:
+        bad = bad | ~in_range(rules)
+    for name in POSITIVE:
+        if name in df.columns:
+            bad = bad | ~(F.col(name) > 0)
+    return F.coalesce(bad, F.lit(True))
+
+
 def clean(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """Raw trips → clean trips. The one shuffle is the full-row deduplication; copies of a hot row
     collapse in the map-side aggregate before it."""

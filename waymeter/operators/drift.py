@@ -215,19 +215,18 @@ def _exact_p_value(ks: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([exact_tail(k, int(a), int(b)) for k, a, b in zip(ks, n, m)])
 
 
-def with_p_value(table: DataFrame, method: str = "auto", rules: DriftRules = DriftRules()) -> DataFrame:
-    """Add ``p``. ``auto`` is exact while the larger sample has at most 10,000 values.
+def with_p_value(table: DataFrame, method: str = "series", rules: DriftRules = DriftRules()) -> DataFrame:
+    """Add ``p``: by the series, whatever the sample sizes, or on request ``"exact"``.
 
-    The table has one row per feature. Features past the limit never reach the Python function.
+    The exact form takes time with the product of the sample sizes; features are spread over tasks for it.
     """
-    series = series_p_value(F.col("ks"), F.col("ref_n"), F.col("cur_n"))
     if method == "series":
-        return table.withColumn("p", series)
-    table = materialize(table, "drift-features")
-    small = F.greatest("ref_n", "cur_n") <= rules.exact_up_to
-    large_rows = table.where(~small).withColumn("p", series)
-    small_rows = table.where(small).withColumn("p", _exact_p_value("ks", "ref_n", "cur_n"))
-    return small_rows.unionByName(large_rows)
+        return table.withColumn("p", series_p_value(F.col("ks"), F.col("ref_n"), F.col("cur_n")))
+    if method != "exact":
+        raise ValueError(f"no such p-value: {method}")
+    spread = materialize(table, "drift-features")
+    spread = spread.repartition(max(1, spread.count()), "feature")  # one row per feature
+    return spread.withColumn("p", _exact_p_value("ks", "ref_n", "cur_n"))
 
 
 # --- feature records and roll-up -------------------------------------------------------------
@@ -236,7 +235,7 @@ def with_p_value(table: DataFrame, method: str = "auto", rules: DriftRules = Dri
 def feature_drift(
     tagged: DataFrame,
     columns: Sequence[str] | None = None,
-    method: str = "auto",
+    method: str = "series",
     rules: DriftRules = DriftRules(),
     values_per_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
@@ -249,7 +248,7 @@ def feature_drift(
 
 
 def feature_records(
-    table: DataFrame, method: str = "auto", rules: DriftRules = DriftRules()
+    table: DataFrame, method: str = "series", rules: DriftRules = DriftRules()
 ) -> DataFrame:
     """:func:`ks_table` rows → records with flag, p-value and rounded numbers."""
     enough = table.where((F.col("ref_n") >= rules.min_samples) & (F.col("cur_n") >= rules.min_samples))
@@ -293,7 +292,7 @@ def drift_report(
     reference_name: str,
     current_name: str,
     columns: Sequence[str] | None = None,
-    method: str = "auto",
+    method: str = "series",
     rules: DriftRules = DriftRules(),
 ) -> DataFrame:
     """One-row report: time, data set names, row counts, summary and the feature records."""
@@ -423,7 +422,7 @@ def what_if_summary(
     base: DataFrame,
     columns: Sequence[str] | None = None,
     multiplier: float = 1.50,
-    method: str = "auto",
+    method: str = "series",
     rules: DriftRules = DriftRules(),
     target: str = TARGET,
 ) -> DataFrame:

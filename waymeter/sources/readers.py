@@ -16,14 +16,15 @@ from waymeter.schemas import PREDICTION_LOG, RAW_TRIP
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     """A trip CSV with a header line.
 
-    Columns are found by name, so any subset in any order is accepted. Types come from the fixed
-    trip schema rather than from a second pass over the file; the usual not-available tokens become
-    null, and so does text that is no number in a numeric column. Columns outside the trip schema
-    stay strings.
+    Columns are found by name, so any subset in any order is accepted; files of one folder whose
+    headers differ are an error. Types come from the fixed trip schema rather than from a second pass
+    over the file; the usual not-available tokens become null, and so does text that is no number in
+    a numeric column, or no whole number in a column of whole numbers. Columns outside the trip
+    schema stay strings.
     """
     names = spark.read.option("header", True).csv(path).columns
     text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    raw = spark.read.schema(text).option("header", True).csv(path)
+    raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
     types = {f.name: f.dataType for f in RAW_TRIP}
     return raw.select([_typed(name, types.get(name, T.StringType())) for name in names])
 
@@ -32,7 +33,8 @@ def _typed(name: str, kind: T.DataType) -> Column:
     c = quoted(name)
     c = F.when(~F.trim(c).isin(*NULL_TOKENS), c)
     if isinstance(kind, T.IntegerType):
-        c = F.trim(c).try_cast("double").try_cast("int")
+        number = F.trim(c).try_cast("double")
+        c = F.when(number == F.floor(number), number.try_cast("int"))
     elif isinstance(kind, T.DoubleType):
         c = F.trim(c).try_cast("double")
     return c.alias(name)

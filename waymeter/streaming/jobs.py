@@ -69,17 +69,25 @@ def write_batches(df: DataFrame, folder: str, write: Callable[[DataFrame, int],
 
 
 def keep_latest(df: DataFrame, folder: str) -> StreamingQuery:
-    """Complete mode: after each micro-batch the folder holds the whole current aggregate.
+    """Complete mode: each micro-batch writes the whole current aggregate as a new version.
 
-    The aggregate is written in parallel; its size is the number of groups.
+    A version is complete once its success file is there; readers take it through :func:`latest`. The
+    aggregate is written in parallel; its size is the number of groups.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/data")
+        batch.write.mode("overwrite").parquet(f"{folder}/data/version={batch_id}")
 
     return write_batches(df, folder, write, "complete")
 
 
+def latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest version that :func:`keep_latest` has written."""
+    rows = spark.read.parquet(f"{folder}/data")
+    newest = rows.agg(F.max("version")).first()[0]
+    return rows.where(F.col("version") == newest).drop("version")
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query and raise what it raised."""
     query.awaitTermination()
@@ -102,12 +110,7 @@ def clean_stream(raw: DataFrame, folder: str, rules: TripRules = TripRules()) ->
         try:
             usable = cleaning.drop_unusable(std, rules).dropDuplicates()
             usable.write.mode("overwrite").parquet(f"{folder}/valid/batch_id={batch_id}")
-            # Null-safe complement of the rules of `clean`.
-            bad = cleaning.any_missing(std) | ~cleaning.in_range(rules)
-            for name in cleaning.POSITIVE:
-                if name in std.columns:
-                    bad = bad | ~(F.col(name) > 0)
-            std.where(F.coalesce(bad, F.lit(True))).write.mode("overwrite").parquet(
+            std.where(cleaning.rejected(std, rules)).write.mode("overwrite").parquet(
                 f"{folder}/rejected/batch_id={batch_id}"
             )
         finally:
@@ -133,18 +136,18 @@ def quarantine_stream(requests: DataFrame, folder: str) -> StreamingQuery:
     return append_to(rejected, folder)
 
 
-def count_stream(log: DataFrame, folder: str, finished_only: bool = False) -> StreamingQuery:
+def count_stream(log: DataFrame, folder: str, finished_only: bool = True) -> StreamingQuery:
     """Requests per minute, status and endpoint; ``ts`` carries the watermark.
 
-    By default the table is current after every micro-batch and holds all windows, for dashboards and
-    backfills. ``finished_only`` appends a window once the watermark has passed it and then drops its
-    state, which is what a job that never ends needs.
+    A window is appended once the watermark has passed it, and its state is dropped, which is what a
+    job that never ends needs. Without ``finished_only`` the table holds all windows after every
+    micro-batch, for backfills; state and versions then grow.
     """
     table = metrics.requests_per_minute(log)
     return append_to(table, folder) if finished_only else keep_latest(table, folder)
 
 
-def histogram_stream(log: DataFrame, folder: str, finished_only: bool = False) -> StreamingQuery:
+def histogram_stream(log: DataFrame, folder: str, finished_only: bool = True) -> StreamingQuery:
     """Sliding five-minute histogram of predicted minutes; ``finished_only`` as in :func:`count_stream`."""
     table = metrics.streamed_sliding_histogram(log)
     return append_to(table, folder) if finished_only else keep_latest(table, folder)
@@ -183,7 +186,7 @@ def drift_stream(
     columns: Sequence[str],
     baseline_rmse: DataFrame | None = None,
     errors: Callable[[DataFrame], DataFrame] | None = None,
-    method: str = "auto",
+    method: str = "series",
     rules: DriftRules = DriftRules(),
 ) -> StreamingQuery:
     """Drift of each micro-batch against a stored baseline, and the decision that follows.
