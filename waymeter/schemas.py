@@ -64,6 +64,16 @@ DRIFT_SUMMARY = T.StructType(
     ]
 )
 
+FEATURE_RECORD = T.StructType(
+    [
+        T.StructField("drift_detected", T.BooleanType()),
+        T.StructField("p_value", T.DoubleType()),
+        T.StructField("ks_statistic", T.DoubleType()),
+        T.StructField("ref_mean", T.DoubleType()),
+        T.StructField("curr_mean", T.DoubleType()),
+    ]
+)
+
 DRIFT_REPORT = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
@@ -72,6 +82,7 @@ DRIFT_REPORT = T.StructType(
         T.StructField("reference_rows", T.LongType()),
         T.StructField("current_rows", T.LongType()),
         T.StructField("drift_summary", DRIFT_SUMMARY),
+        T.StructField("feature_metrics", T.MapType(T.StringType(), FEATURE_RECORD)),
     ]
 )
 

@@ -45,6 +45,12 @@ def stage_batch(batch: DataFrame, folder: str, name: str) -> str:
     return folder
 
 
+def stage_batches(rows: DataFrame, folder: str, by: str) -> str:
+    """Put a batch per value of a column into the incoming folder, in one write. Rows keep that column."""
+    rows.withColumn("batch", F.col(by)).write.mode("append").partitionBy("batch").parquet(folder)
+    return folder
+
+
 def append_predictions(scored: DataFrame, path: str) -> str:
     """Append scored trips to the prediction log, partitioned by day so that scans can prune."""
     (
