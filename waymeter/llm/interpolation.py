@@ -26,11 +26,11 @@ from waymeter.llm import words as W
 from waymeter.session import materialize
 
 #: Words and word pairs that travel with the tasks. Which these are changes no result.
-FREQUENT_WORDS, FREQUENT_PAIRS = 1 << 18, 1 << 19
+FREQUENT_WORDS, FREQUENT_PAIRS = 1 << 17, 1 << 18
 #: Text that a task counts at once, and the count in it from which a word or pair can be among the frequent.
-CHUNK_BYTES, LOCAL_COUNT = 16 << 20, 8
+CHUNK_BYTES, LOCAL_COUNT = 4 << 20, 4
 #: Occurrences that a bucket holds, about.
-BUCKET_ROWS = 1_500_000
+BUCKET_ROWS = 300_000
 #: Parts of the documents by crc32 of the id: one is held out, and one of the training parts fits the weights.
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 ROUNDS = 60
@@ -147,12 +147,15 @@ def choose_frequent(docs: DataFrame) -> tuple[Frequent, int]:
     return Frequent(words, h[order], vi[both][order], wi[both][order], none, none), int(total)
 
 
-def count_frequent(docs: DataFrame, f: Frequent) -> None:
-    """Exact counts of the frequent words (the start: documents) and pairs in the training documents."""
+def count_frequent(docs: DataFrame, f: Frequent) -> tuple[int, int]:
+    """Exact counts of the frequent words (the start: documents) and pairs in the training documents.
+
+    Returns how many tokens all training documents and the kept part have.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = len(f.words), len(f.pairs)
-        held = np.zeros((sum(sizes), 2), np.int64)
+        held = np.zeros((sum(sizes) + 1, 2), np.int64)  # the last row counts all tokens
         for part in W.slices(batches):
             part = part.filter(pa.array(part.column("part").to_numpy() != _UNSEEN))
             context, token, row = _tokens(part.column("text"))
@@ -162,22 +165,44 @@ def count_frequent(docs: DataFrame, f: Frequent) -> None:
                     held[base : base + sizes[base > 0], k] += np.bincount(at[mask], minlength=sizes[base > 0])
             start = int(f.word(np.array([_START]))[0])
             held[start] += [(~deleted).sum(), deleted.sum()]
+            held[-1] += [(~deleted[row]).sum(), deleted[row].sum()]
         at = np.flatnonzero(held.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at, 0]), pa.array(held[at, 1])], names=["at", "kept", "deleted"])
 
     rows = docs.select("text", "part").mapInArrow(run, "at long, kept long, deleted long").groupBy("at")
     got = rows.agg(F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted")).toArrow()
-    both = np.zeros((len(f.words) + len(f.pairs), 2), np.int64)
+    both = np.zeros((len(f.words) + len(f.pairs) + 1, 2), np.int64)
     at, kept = got.column("at").to_numpy(), got.column("kept").to_numpy()
     both[at, 0], both[at, 1] = kept + got.column("deleted").to_numpy(), kept
-    f.word_counts, f.pair_counts = both[: len(f.words)], both[len(f.words) :]
+    f.word_counts, f.pair_counts = both[: len(f.words)], both[len(f.words) : -1]
+    return int(both[-1, 0]), int(both[-1, 1])
+
+
+_ROUTED = "bucket int, class int, chunk long, docs int, at binary, x binary, y binary"
+#: A row of this class has the keys of a chunk's documents in place of occurrences.
+_KEYS = 4
+
 
+def _narrow(values: np.ndarray, size: int) -> bytes:
+    """Whole numbers below 256 ** size."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
 
-_ROUTED = "bucket int, class int, keys binary, folds binary, at binary, x binary, y binary"
+
+def _widen(raw: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(raw) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+    return out.reshape(-1).view("<u8")
+
+
+#: Bytes of x and y in each class: hashes have eight, places of frequent words three, places of both six.
+_WIDTHS = {_RARE: (8, 3), _BOTH_RARE: (8, 8), _AFTER_RARE: (8, 3), _PAIR: (6, 0)}
 
 
 def route(docs: DataFrame, f: Frequent, buckets: int) -> DataFrame:
-    """Occurrences of pairs that are not frequent, packed: a row per chunk, bucket and class."""
+    """Occurrences of pairs that are not frequent, packed: a row per chunk, bucket and class.
+
+    ``at`` has the document's place in its chunk, times four, plus its part. A chunk is named by its documents.
+    """
     words, pairs = f.words, f.pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,103 +212,125 @@ def route(docs: DataFrame, f: Frequent, buckets: int) -> DataFrame:
             for part in chunk:
                 context, token, row = _tokens(part.column("text"))
                 open_at = np.flatnonzero(find.pair(_pair(context, token)) < 0)
-                context, token, row = context[open_at], token[open_at], row[open_at] + docs_before
+                context, token, row = context[open_at], token[open_at], row[open_at]
                 vi, wi = find.word(context), find.word(token)
                 rare, after = wi < 0, vi < 0
-                kind = np.where(rare, np.where(after, _BOTH_RARE, _RARE), np.where(after, _AFTER_RARE, _PAIR))
-                packed = (np.maximum(vi, 0).astype(np.uint64) << np.uint64(32)) | np.maximum(wi, 0).astype(np.uint64)
+                kind = np.where(rare, np.where(after, _BOTH_RARE, _RARE), np.where(after, _AFTER_RARE, _PAIR)).astype(np.uint8)
+                packed = (np.maximum(vi, 0).astype(np.uint64) << np.uint64(24)) | np.maximum(wi, 0).astype(np.uint64)
                 x = np.where(rare, token, np.where(after, context, packed))
                 y = np.where(rare, np.where(after, context, vi.astype(np.uint64)), wi.astype(np.uint64))
-                found.append((kind, x, y, row))
+                place = (row + docs_before) * 4 + part.column("part").to_numpy()[row]
+                found.append((kind, x, y, place.astype(np.uint32)))
                 docs_before += part.num_rows
-            kind, x, y, row = (np.concatenate(p) for p in zip(*found, strict=True))
+            kind, x, y, place = (np.concatenate(p) for p in zip(*found, strict=True))
             keys = np.concatenate([p.column("key").to_numpy() for p in chunk])
-            folds = np.concatenate([p.column("part").to_numpy() for p in chunk]).astype(np.uint8)
-            bucket = (W.mix(x, 3) % np.uint64(buckets)).astype(np.int64)
-            group = bucket * 4 + kind
+            name = int(W.mix(keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * W.factor(11), 12).sum(dtype=np.uint64).view(np.int64))
+            group = (W.mix(x, 3) % np.uint64(buckets)).astype(np.int64) * 4 + kind
             order = np.argsort(group, kind="stable")
             ranked = group[order]
             first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)])
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[abs(name) % buckets], [_KEYS], [name], [len(keys)], [b""], [keys.tobytes()], [b""]]
             for a, b in zip(first, np.append(first[1:], len(ranked)), strict=True):
                 rows = order[a:b]
-                doc = row[rows]  # rises
-                new = np.append(True, doc[1:] != doc[:-1])
-                place = np.cumsum(new) - 1
-                k = int(ranked[a]) % 4
-                other = {_BOTH_RARE: "<u8", _PAIR: None}.get(k, "<u4")
-                fields = (
-                    int(ranked[a]) // 4, k, keys[doc[new]].tobytes(), folds[doc[new]].tobytes(), place.astype("<u4").tobytes(),
-                    x[rows].tobytes(), y[rows].astype(other).tobytes() if other else b"",
-                )
+                bucket, k = divmod(int(ranked[a]), 4)
+                wx, wy = _WIDTHS[k]
+                at = _narrow(place[rows], 2 if len(keys) < 1 << 14 else 4)
+                fields = bucket, k, name, len(keys), at, _narrow(x[rows], wx), _narrow(y[rows], wy) if wy else b""
                 for values, value in zip(out, fields, strict=True):
                     values.append(value)
-            types = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
+            types = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names=[c.split()[0] for c in _ROUTED.split(", ")])
 
     return docs.select("key", "part", "text").mapInArrow(run, _ROUTED)
 
 
-_RESOLVED = "kind int, key long, v long, rare boolean, cvw long, cv long, cw long, deleted boolean, kept_cvw long, kept_cv long, kept_cw long"
-#: Kinds of rows: an occurrence with all counts, one whose context's count is missing, and the counts of a rare word.
-_DONE, _OPEN, _WORD = range(3)
+_RESOLVED = "kind int, chunk long, at int, v long, cvw long, cv long, cw long, kept_cvw long, kept_cw long, n double, p2 double, p1 double"
+#: Kinds of rows: an occurrence with all counts, after a frequent or for a rare word; one whose context's count is
+#: missing; the counts of a rare word; a document's key; deleted occurrences of like estimates.
+_DONE, _DONE_RARE, _OPEN, _WORD, _KEY, _CELL = range(6)
 
 
-def _both(keys: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _both(keys: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of each occurrence's key in all training documents and in the kept part; the distinct keys and their counts."""
     order, first, n = _count(keys)
     group = np.empty(len(keys), np.int64)
     group[order] = np.repeat(np.arange(len(first)), n)
     counts = np.stack([np.bincount(group, fold != _UNSEEN, len(first)), np.bincount(group, fold == _KEPT, len(first))], 1).astype(np.int64)
-    return counts[group], keys[order[first]], counts, group
+    return counts[group], keys[order[first]], counts
+
 
+def _octave(p: np.ndarray) -> np.ndarray:
+    """Bin of an estimate: an eighth of an octave."""
+    return np.where(p > 0, np.floor(8 * np.log2(np.maximum(p, 1e-300))), -10_000).astype(np.int64)
 
-def resolve(routed: DataFrame, f: Frequent) -> DataFrame:
+
+def resolve(routed: DataFrame, f: Frequent, kept_tokens: int) -> DataFrame:
     """Counts for every routed occurrence; a group is a bucket, whose size is bounded by the number of buckets."""
     known = f.word_counts
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {k: [] for k in range(4)}
+        chunks: list[int] = []
         for batch in batches:
-            for r in batch.select(["class", "keys", "folds", "at", "x", "y"]).to_pylist():
-                at = np.frombuffer(r["at"], "<u4")
-                other = {_BOTH_RARE: "<u8", _PAIR: None}.get(r["class"], "<u4")
-                y = np.frombuffer(r["y"], other).astype(np.uint64) if other else np.zeros(len(at), np.uint64)
-                held[r["class"]].append((np.frombuffer(r["keys"], np.int64)[at], np.frombuffer(r["folds"], np.uint8)[at], np.frombuffer(r["x"], np.uint64), y))
-        none = (np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-        got = {k: tuple(np.concatenate(p) for p in zip(*v, strict=True)) if v else none for k, v in held.items()}
+            for r in batch.to_pylist():
+                if r["class"] == _KEYS:
+                    yield rows(_KEY, np.full(r["docs"], r["chunk"]), np.arange(r["docs"]), v=np.frombuffer(r["x"], np.int64))
+                    continue
+                wx, wy = _WIDTHS[r["class"]]
+                at = _widen(r["at"], 2 if r["docs"] < 1 << 14 else 4).astype(np.int32)
+                held[r["class"]].append((np.full(len(at), len(chunks), np.int32), at, _widen(r["x"], wx), _widen(r["y"], wy) if wy else np.zeros(len(at), np.uint64)))
+                chunks.append(r["chunk"])
+        names = np.array(chunks, np.int64)
+        none = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        take = lambda k: tuple(np.concatenate(p) for p in zip(*held.pop(k), strict=True)) if held[k] else none
 
+        # Frequent words in pairs that are not frequent.
+        chunk, at, x, _ = take(_PAIR)
+        cv, cw = known[(x >> np.uint64(24)).astype(np.int64)], known[(x & np.uint64(0xFFFFFF)).astype(np.int64)]
+        yield from done(_DONE, names[chunk], at, _both(x, at & 3)[0], cv, cw)
         # Rare words: all their occurrences are here.
-        split = len(got[_RARE][0])
-        key, fold, x, y = (np.concatenate([got[_RARE][k], got[_BOTH_RARE][k]]) for k in range(4))
-        cw, rare_words, rare_counts, _ = _both(x, fold)
+        one, two = take(_RARE), take(_BOTH_RARE)
+        split = len(one[0])
+        chunk, at, x, y = (np.concatenate(p) for p in zip(one, two, strict=True))
+        cw, rare_words, rare_counts = _both(x, at & 3)
         pair = W.mix(x ^ W.mix(y, 8), 9)
         pair[split:] = W.mix(pair[split:], 10)
-        cvw = _both(pair, fold)[0]
-        cv = np.zeros_like(cw)
-        cv[:split] = known[y[:split].astype(np.int64)]
-        open_ = np.arange(len(key)) >= split
-        yield rows(np.where(open_, _OPEN, _DONE), key, fold, np.where(open_, y, 0), True, cvw, cv, cw)
-        yield rows(
-            np.full(len(rare_words), _WORD), np.zeros(len(rare_words), np.int64), np.full(len(rare_words), _DELETED, np.uint8), rare_words, True,
-            np.zeros_like(rare_counts), rare_counts, np.zeros_like(rare_counts),
-        )
+        cvw = _both(pair, at & 3)[0]
+        yield from done(_DONE_RARE, names[chunk[:split]], at[:split], cvw[:split], known[y[:split].astype(np.int64)], cw[:split])
+        deleted = at[split:] & 3 == _DELETED
+        keep = lambda c: pa.array(c[split:, 1], mask=~deleted)
+        yield rows(_OPEN, names[chunk[split:]], at[split:] >> 2, v=y[split:].view(np.int64), cvw=cvw[split:, 0], cw=cw[split:, 0], kept_cvw=keep(cvw), kept_cw=keep(cw))
+        yield rows(_WORD, np.zeros(len(rare_words), np.int64), np.zeros(len(rare_words), np.int64), v=rare_words.view(np.int64), cw=rare_counts[:, 0], kept_cw=rare_counts[:, 1])
         # Frequent words after them.
-        key, fold, x, y = got[_AFTER_RARE]
-        at = _find(rare_words, x)
-        cv = np.where((at >= 0)[:, None], rare_counts[at] if len(rare_counts) else 0, 0)
-        yield rows(np.full(len(key), _DONE), key, fold, np.zeros(len(key), np.uint64), False, _both(W.mix(x ^ W.mix(y, 8), 9), fold)[0], cv, known[y.astype(np.int64)])
-        # Frequent words in pairs that are not frequent.
-        key, fold, x, _ = got[_PAIR]
-        cv, cw = known[(x >> np.uint64(32)).astype(np.int64)], known[(x & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        yield rows(np.full(len(key), _DONE), key, fold, np.zeros(len(key), np.uint64), False, _both(x, fold)[0], cv, cw)
-
-    def rows(kind, key, fold, v, rare, cvw, cv, cw) -> pa.RecordBatch:
-        order = np.argsort(key)
-        deleted = fold == _DELETED
-        keep = lambda c: np.where(deleted, c[:, 1], 0)
-        columns = [kind.astype(np.int32), key, v.astype(np.uint64).view(np.int64), np.full(len(key), rare), cvw[:, 0], cv[:, 0], cw[:, 0], deleted, keep(cvw), keep(cv), keep(cw)]
-        return pa.RecordBatch.from_arrays([pa.array(c[order]) for c in columns], names=[c.split()[0] for c in _RESOLVED.split(", ")])
+        chunk, at, x, y = take(_AFTER_RARE)
+        place = _find(rare_words, x)
+        cv = np.zeros((len(place), 2), np.int64)
+        cv[place >= 0] = rare_counts[place[place >= 0]]
+        yield from done(_DONE, names[chunk], at, _both(W.mix(x ^ W.mix(y, 8), 9), at & 3)[0], cv, known[y.astype(np.int64)])
+
+    def done(kind: int, chunk, at, cvw, cv, cw) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((at, chunk))
+        yield rows(kind, chunk[order], at[order] >> 2, cvw=cvw[order, 0], cv=cv[order, 0], cw=cw[order, 0])
+        on = at & 3 == _DELETED
+        b = buckets_of(cv[on, 1])
+        p2, p1 = cvw[on, 1] / np.maximum(cv[on, 1], 1), cw[on, 1] / max(kept_tokens, 1)
+        cell = (b * 32_768 + _octave(p2) + 16_384) * 32_768 + _octave(p1) + 16_384
+        _, first, group = np.unique(cell, return_index=True, return_inverse=True)
+        size = len(first)
+        none = np.zeros(size, np.int64)
+        yield rows(_CELL, none, b[first], n=np.bincount(group, minlength=size).astype(float), p2=np.bincount(group, p2, size), p1=np.bincount(group, p1, size))
+
+    kinds = {"kind": pa.int32(), "at": pa.int32(), "n": pa.float64(), "p2": pa.float64(), "p1": pa.float64()}
+
+    def rows(kind: int, chunk: np.ndarray, at: np.ndarray, **columns) -> pa.RecordBatch:
+        n = len(chunk)
+        columns |= {"kind": np.full(n, kind), "chunk": chunk, "at": at}
+        names = [c.split()[0] for c in _RESOLVED.split(", ")]
+        arrays = []
+        for name in names:
+            c, t = columns.get(name), kinds.get(name, pa.int64())
+            arrays.append(pa.nulls(n, t) if c is None else pa.array(c).cast(t))
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     return routed.groupBy("bucket").applyInArrow(bucket, _RESOLVED)
 
@@ -351,47 +398,46 @@ def score(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     docs = docs.select("doc_id", held_out.alias("held_out"), part.alias("part"), text.alias("text"), F.xxhash64("doc_id", text).alias("key"))
     f, total = choose_frequent(docs)
-    count_frequent(docs, f)
-    spark = docs.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ROWS)
-    found = materialize(resolve(route(docs, f, buckets), f), "occurrences")
-
-    rare_words = found.where(F.col("kind") == _WORD).select("v", F.col("cv").alias("v_count"), F.col("kept_cv").alias("v_kept"))
-    open_rows = found.where(F.col("kind") == _OPEN).join(rare_words, "v", "left")
-    open_rows = open_rows.withColumn("cv", F.coalesce("v_count", F.lit(0)))
-    open_rows = open_rows.withColumn("kept_cv", F.when(F.col("deleted"), F.coalesce("v_kept", F.lit(0))).otherwise(0)).select(found.columns)
-    occurrences = found.where(F.col("kind") == _DONE).unionByName(open_rows)
-
-    end_and_words = f.words != _START
-    rare_tokens, rare_kept, rare_distinct = found.where(F.col("kind") == _WORD).agg(
-        F.sum("cv"), F.sum("kept_cv"), F.count_if(F.col("cv") > 0)
-    ).first()
-    tokens = int(f.word_counts[end_and_words, 0].sum()) + (rare_tokens or 0)
-    kept_tokens = int(f.word_counts[end_and_words, 1].sum()) + (rare_kept or 0)
-    distinct = int((f.word_counts[end_and_words, 0] > 0).sum()) + (rare_distinct or 0)
+    tokens, kept_tokens = count_frequent(docs, f)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ROWS)
+    found = materialize(resolve(route(docs, f, buckets), f, kept_tokens), "occurrences")
+    kind = F.col("kind")
+
+    rare_words = found.where(kind == _WORD).select("v", F.col("cw").alias("v_count"), F.col("kept_cw").alias("v_kept"))
+    count = lambda c: F.coalesce(c, F.lit(0))
+    open_rows = (
+        found.where(kind == _OPEN).join(rare_words, "v", "left")
+        .select("chunk", "at", "cvw", count("v_count").alias("cv"), "cw", "kept_cvw", count("v_kept").alias("kept_cv"), "kept_cw")
+    )
+    distinct = int((f.word_counts[f.words != _START, 0] > 0).sum()) + rare_words.where("v_count > 0").count()
 
     # Deleted occurrences by bucket and by their estimates, in bins of an eighth of an octave: a bounded table.
     p2 = F.when(F.col("kept_cv") > 0, F.col("kept_cvw") / F.col("kept_cv")).otherwise(0.0)
-    p1 = F.col("kept_cw") / max(kept_tokens, 1)
-    bins = lambda p: F.coalesce(F.floor(8 * F.log2(p)), F.lit(-10_000))
-    cells = (
-        occurrences.where("deleted").select(bucket_of(F.col("kept_cv")).alias("b"), p2.alias("p2"), p1.alias("p1"))
-        .groupBy("b", bins(F.col("p2")), bins(F.col("p1"))).agg(F.count("*").alias("n"), F.avg("p2").alias("p2"), F.avg("p1").alias("p1")).toArrow()
-    )
+    deleted = open_rows.where("kept_cvw IS NOT NULL")
+    cells = found.where(kind == _CELL).select(F.col("at").alias("b"), "n", "p2", "p1").unionByName(
+        deleted.select(bucket_of(F.col("kept_cv")).alias("b"), F.lit(1.0).alias("n"), p2.alias("p2"), (F.col("kept_cw") / max(kept_tokens, 1)).alias("p1"))
+    )
+    bins = lambda p: F.coalesce(F.floor(8 * F.log2(F.col(p) / F.col("n"))), F.lit(-10_000))
+    cells = cells.groupBy("b", bins("p2"), bins("p1")).agg(F.sum("n").alias("n"), F.sum("p2").alias("p2"), F.sum("p1").alias("p1")).toArrow()
     b, n, e2, e1 = (cells.column(c).to_numpy().astype(float) for c in ("b", "n", "p2", "p1"))
     pairs = f.pair_counts[:, 0] - f.pair_counts[:, 1]
     cv, cw = f.word_counts[f.first, 1], f.word_counts[f.second, 1]
+    e2, e1 = np.append(e2 / n, f.pair_counts[:, 1] / np.maximum(cv, 1)), np.append(e1 / n, cw / max(kept_tokens, 1))
     b, n = np.append(b, buckets_of(cv)).astype(np.int64), np.append(n, pairs)
-    e2, e1 = np.append(e2, f.pair_counts[:, 1] / np.maximum(cv, 1)), np.append(e1, cw / max(kept_tokens, 1))
     used = n > 0
     model = Model(tokens, distinct, learn_weights(b[used], n[used], e2[used], e1[used], 1 / (distinct + 1)))
 
+    counted = found.where(kind <= _DONE_RARE).select("chunk", "at", "cvw", "cv", "cw", (kind == _DONE_RARE).alias("rare"))
+    counted = counted.unionByName(open_rows.select("chunk", "at", "cvw", "cv", "cw", F.lit(True).alias("rare")))
     rare = F.col("rare")
-    sums = occurrences.select(
-        "key", model.column(F.col("cvw"), F.col("cv"), F.col("cw")).alias("s"),
+    sums = counted.select(
+        "chunk", "at", model.column(F.col("cvw"), F.col("cv"), F.col("cw")).alias("s"),
         F.when(rare, F.log10(F.col("cw") + 1)).otherwise(0.0).alias("c"), (rare & (F.col("cw") > 0)).cast("long").alias("k"),
-    ).groupBy("key").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("k").alias("k"))
+    ).groupBy("chunk", "at").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("k").alias("k"))
+    keys = found.where(kind == _KEY).select("chunk", "at", F.col("v").alias("key")).distinct()
+    sums = keys.join(sums, ["chunk", "at"]).groupBy("key").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("k").alias("k"))
     direct = docs.mapInArrow(_direct(f, model), "doc_id {}, held_out boolean, key long, n_tokens long, n_known long, c double, s double".format(docs.schema["doc_id"].dataType.simpleString()))
+    direct = materialize(direct, "direct")
     alike = direct.groupBy("key").agg(F.count("*").alias("rows"))
     joined = direct.withColumnsRenamed({"c": "own_c", "s": "own_s"}).join(sums, "key", "left").join(alike, "key")
     per_row = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("rows")  # noqa: E731  rows of one key are equal
@@ -415,7 +461,7 @@ def _direct(f: Frequent, model: Model) -> Callable[[Iterator[pa.RecordBatch]], I
             w, p = _find(words, token), _find(pairs, _pair(context, token))
             has, met = w >= 0, p >= 0
             known = np.bincount(row[has], counts[w[has]] > 0, rows).astype(np.int64)
-            columns = [np.bincount(row, minlength=rows), known, np.bincount(row[has], log_counts[w[has]], rows), np.bincount(row[met], logs[p[met]], rows)]
+            columns = [np.bincount(row, minlength=rows), known, *(np.bincount(r, v, rows).astype(float) for r, v in ((row[has], log_counts[w[has]]), (row[met], logs[p[met]])))]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), part.column("key"), *map(pa.array, columns)],
                 names=["doc_id", "held_out", "key", "n_tokens", "n_known", "c", "s"],

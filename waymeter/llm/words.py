@@ -71,6 +71,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 @dataclass
