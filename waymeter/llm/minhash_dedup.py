@@ -5,8 +5,9 @@ candidates. Signatures of a candidate pair are compared batch by batch, and the
 posterior chance of reaching the similarity falls below MISS. Survivors are confirmed on full shingle sets.
 
 Groups stay linear: in each bucket documents are first compared with one pivot, and only documents of different
-components meet afterwards. A shingle that no other candidate has can't be in an intersection, so counts of
-shared shingles bound a pair's similarity from above, which settles most loose pairs of a large group unseen.
+components meet afterwards. A shingle that no other candidate has can't be in an intersection. The others of a
+document are counted in CELLS hashed cells, and the smaller counts of each cell add up to at least the
+intersection of two documents: this bound settles the loose pairs of a large group before they become rows.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ PERCENT = 80
 #: A pair at the similarity shares no band with chance (1 - 0.8^4)^32, below 1e-7.
 BANDS, BAND_ROWS = 32, 4
 HASHES = BANDS * BAND_ROWS
+#: Cells of a document's profile of shared shingles.
+CELLS = 128
 #: Hashes compared at once, and the chance at which a pair is dropped.
 BATCH, MISS = 16, 1e-6
 
@@ -89,6 +92,24 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.where(F.size("items") > 0).join(wanted, "rep", "left_semi")
 
 
+def profiled(sets: DataFrame) -> DataFrame:
+    """(rep, n, shared, profile) from (rep, items, alone: those that no other set has): counts of the shared items by cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, profile = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, CELLS), np.int32)
+            for k, (items, alone) in enumerate(zip(batch.column("items"), batch.column("alone"), strict=True)):
+                x = items.values.to_numpy()
+                n[k] = len(x)
+                if alone.is_valid:
+                    x = x[~np.isin(x, alone.values.to_numpy())]
+                profile[k] = np.bincount(x & (CELLS - 1), minlength=CELLS)
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * CELLS, pa.int32()), pa.array(profile.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(n), pa.array(profile.sum(1, dtype=np.int64)), cells], names=["rep", "n", "shared", "profile"])
+
+    return sets.select("rep", "items", "alone").mapInArrow(run, "rep long, n long, shared long, profile array<int>")
+
+
 def fewest_matches(seen: int) -> int:
     """Matches among ``seen`` hashes from which a pair goes on.
 
@@ -154,8 +175,25 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def between(named: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components, with those: ca and cb."""
+    for side in ("a", "b"):
+        own = named.select(F.col("rep").alias(side), F.col("component").alias("c"))
+        pairs = pairs.join(own, side, "left").withColumn(f"c{side}", F.coalesce("c", side)).drop("c")
+    return pairs.where("ca <> cb")
+
+
+def joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (rep, component) after further links; components are joined as wholes, so many links between two are one."""
+    wholes = between(named, links).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    moved = components(materialize(wholes, "links"))
+    fresh = moved.select(F.col("node").alias("rep"), F.col("node").alias("component")).join(named, "rep", "left_anti")
+    every = named.unionByName(fresh).join(moved.withColumnRenamed("component", "whole"), F.col("component") == F.col("node"), "left")
+    return materialize(every.select("rep", F.coalesce("whole", "component").alias("component")), "components")
+
+
 def link(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """(per row doc_id, n_shingles and rep; links (a, b) between classes that join all linked ones)."""
+    """(per row doc_id, n_shingles and rep; component of each rep that has links)."""
     rows = materialize(signatures(docs, size), "signatures")
     filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = materialize(
@@ -169,7 +207,8 @@ def link(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     ).select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"))
 
     band = lambda k: F.xxhash64(F.lit(k), *[F.col("signature")[k * BAND_ROWS + j] for j in range(BAND_ROWS)])
-    bands = reps.select("rep", "n", F.explode(F.array(*[band(k) for k in range(BANDS)])).alias("bucket"))
+    bands = reps.select("rep", "n", F.array(*[band(k) for k in range(BANDS)]).alias("bands"))
+    in_bands, bands = bands.select("rep", "bands"), bands.select("rep", "n", F.explode("bands").alias("bucket"))
     common = bands.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("bucket")
     shared = materialize(bands.join(common, "bucket", "left_semi"), "buckets")
 
@@ -178,11 +217,11 @@ def link(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     alone = (
         sets.select("rep", F.explode("items").alias("item"))
         .groupBy("item").agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
-        .groupBy("rep").agg(F.count("*").alias("alone"))
+        .groupBy("rep").agg(F.collect_list("item").alias("alone"))
     )
-    sizes = sets.select("rep", F.size("items").alias("n")).join(alone, "rep", "left")
-    sizes = sizes.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-    open_reps = materialize(sizes.where(100 * F.col("shared") >= PERCENT * F.col("n")).distinct(), "open")
+    profiles = profiled(sets.join(alone, "rep", "left"))
+    profiles = materialize(profiles.where(100 * F.col("shared") >= PERCENT * F.col("n")), "open")
+    open_reps = profiles.drop("profile").distinct()
     buckets = materialize(shared.select("bucket", "rep").join(open_reps, "rep"), "open-buckets")
 
     # Each document against the pivot of its buckets that looks most alike.
@@ -193,23 +232,30 @@ def link(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     )
     star = buckets.join(pivots, "bucket").where("rep <> pivot").where(_possible("n", "shared", "pivot_n", "pivot_shared"))
     likely = plausible(star.select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), reps)
-    likely = likely.groupBy("a").agg(F.max_by("b", "matches").alias("b"))
-    links = materialize(confirmed(likely.select(*_pair("a", "b")).distinct(), sets), "links")
+    likely = materialize(likely, "likely")
+    best = likely.groupBy("a").agg(F.max_by("b", "matches").alias("b"))
+    named = components(confirmed(best.select(*_pair("a", "b")).distinct(), sets))
+    named = named.select(F.col("node").alias("rep"), "component")
+    # Against the other pivots, where that one was not enough.
+    named = joined(named, confirmed(between(named, likely).select(*_pair("a", "b")).distinct(), sets))
 
     # Documents of one bucket that are still apart. The largest component of a bucket is compared with the rest only.
-    named = components(links).select(F.col("node").alias("rep"), "component")
     apart = buckets.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     counts = apart.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     main = counts.groupBy("bucket").agg(F.max_by("component", "c").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    apart = materialize(apart.join(main, "bucket").drop("parts"), "apart")
-    minor = apart.where("component <> main").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "shared", "component")])
+    apart = apart.join(main, "bucket").drop("parts").join(profiles.select("rep", "profile"), "rep").join(in_bands, "rep")
+    apart = materialize(apart, "apart")
+    minor = apart.where("component <> main").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "shared", "component", "profile", "bands")])
+    most = F.aggregate(F.zip_with("profile", "x_profile", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     meet = apart.join(minor, "bucket").where(
         (F.col("component") != F.col("x_component"))
         & ((F.col("component") == F.col("main")) | (F.col("rep") < F.col("x_rep")))
         & _possible("n", "shared", "x_n", "x_shared")
+        & (F.col("bucket") == F.array_min(F.array_intersect("bands", "x_bands")))  # a pair meets once
+        & (100 * most >= PERCENT * (F.col("n") + F.col("x_n") - most))
     )
     more = plausible(meet.select(*_pair("rep", "x_rep")).distinct(), reps)
-    return member, links.unionByName(materialize(confirmed(more, sets), "links"))
+    return member, joined(named, confirmed(more, sets))
 
 
 def components_of(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -220,8 +266,7 @@ def components_of(docs: DataFrame, size: int = 5) -> DataFrame:
     is the smallest doc_id reachable over links, kept marks it. Rows that repeat an id share its component.
     A row without an id links with nothing, has no component and is kept. An empty table gives no rows.
     """
-    member, links = link(docs, size)
-    named = components(links).select(F.col("node").alias("rep"), "component")
+    member, named = link(docs, size)
     component = F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
     out = member.join(named, "rep", "left").select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
