@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from waymeter.llm import label_shards as L
@@ -40,6 +41,23 @@ def test_a_group_of_a_third_fills_few_shards(spark):
     assert sum(n for _, n in per_shard.most_common(5)) > 60
 
 
+@pytest.mark.parametrize(("size", "linked"), [(4, 1.0), (20, 1.0), (4, 0.9)])
+def test_groups_meet_where_most_rows_have_a_copy(spark, size, linked):
+    n, shards = 4000, 8
+    rows = [(k, f"group {k % int(n * linked / size)}" if k < n * linked else f"text {k}") for k in range(n)]
+    held = defaultdict(Counter)
+    for r in check(spark.createDataFrame(rows, "doc_id long, text string"), shards):
+        held[r.text_crc32][r.shard] += 1
+    outside = sum(sum(c.values()) - max(c.values()) for c in held.values())
+    assert outside < 0.05 * n * linked
+
+
+def test_shards_exchange_rows_without_room():
+    requests = np.zeros((2, 3, 3), np.int64)
+    requests[0, 0, 1] = requests[0, 1, 0] = requests[1, 2, 0] = 5
+    assert L.admitted(requests, np.array([10, 10, 10]), 10) == [1, 2, 2]
+
+
 @pytest.mark.parametrize("shards", [1, 7, 40])
 def test_odd_rows(odd, shards):
     check(odd, shards)
