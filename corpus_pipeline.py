@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"), spaced_seeds.SHORT_CHANGES)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

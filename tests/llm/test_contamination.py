@@ -3,7 +3,10 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
+
 from waymeter.llm import spaced_seeds as S
+from waymeter.llm import words as W
 
 
 def tokens(text):
@@ -61,3 +64,28 @@ def test_odd_and_empty_tables(odd, given):
     assert S.decontaminate(odd, benchmark).count() == odd.count()
     assert S.contaminated(odd.limit(0), benchmark).count() == 0
     assert S.contaminated(odd, benchmark.limit(0)).count() == 0
+
+
+def found(spark, docs, items):
+    docs, items = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id, r.changes) for r in S.contaminated(docs, items, S.SHORT_CHANGES).collect()}
+
+
+def test_items_under_a_window_are_found(spark):
+    items = ["What is the capital of France?", "one two three four five six seven eight nine", "法国首都是哪里？", "Wie heißt “Der Prozess” von Franz Kafka auf Englisch richtig?"]
+    docs = [
+        "Trivia. What is the CAPITAL of France? Paris.",
+        "they ask what is the capital of France every day",  # within a sentence: clean
+        "so one two three four FIVES six seven eight nine ten",
+        "so one two three four FIVES sixes seven eight nine ten",  # two substitutions
+        "他问道：法国首都是哪里？答案。",
+        "你知道法国首都是哪里吗",
+        "und wie heißt «Der Prozess» von Franz Kafka auf Englisch richtig – oder",
+    ]
+    assert found(spark, docs, items) == {(0, 0, 0), (2, 1, 1), (4, 2, 0), (6, 3, 0)}
+
+
+def test_unicode_punctuation_cuts_tokens():
+    s, border = W.tokens(*W.buffers(pa.array(["it’s “so” 3.14—née. 東京x", "a", "", "b"])))
+    assert s.count.tolist() == [9, 1, 0, 1]
+    assert border.tolist() == [True, False, True, True, False, False, True, False, False, True, True]

@@ -63,7 +63,7 @@ def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spaced_seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return spaced_seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spaced_seeds.SHORT_CHANGES)
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
