@@ -608,6 +608,7 @@ FROM (SELECT b, c, (c - b) / b AS inc, drifted / tested >= 0.3 AS drift, round(d
     )
 
     out["decision_from_files"] = out["retrain_decision"]
+    out["stream_decision"] = out["retrain_decision"]
 
     # Models
     ridge = f"""xy AS (SELECT trip_distance_km AS x1, CAST({ORDINAL} AS DOUBLE) AS x2, actual_eta_minutes AS y

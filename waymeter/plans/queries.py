@@ -943,17 +943,36 @@ def stream_monitored_by_window(spark, sf_dir):
     return monitored_windows(matched_stream(spark, sf_dir))
 
 
-@query
-def stream_drift(spark, sf_dir):
-    """Baseline: the training rows. Stream: the what-if test rows."""
-    baseline = materialize(numeric_rows(featured(spark, sf_dir).where("NOT is_test")), "baseline")
+def drift_streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the drift stream. Baseline: the training rows. Stream: the raw trips, copies included; what-if test rows are tested."""
+    rows = decision_rows(spark, sf_dir)
+    baseline = materialize(rows.where(~F.col(drift.SIDE)).drop(drift.SIDE), "baseline")
+    usable = clean.drop_unusable(clean.standardize(fixtures.trips_from(streamed(spark, sf_dir, "lineitem"))))
 
-    raw = clean.standardize(fixtures.trips_from(streamed(spark, sf_dir, "lineitem"), duplicates=False))
-    usable = clean.drop_unusable(raw)
-    rows = features.trip_features(features.split_flag(usable, usable.columns)).where("is_test")
-    current = drift.what_if(numeric_rows(rows), 1.5)
-    folder = run(
+    def tested(trips: DataFrame) -> DataFrame:
+        test = with_baseline(features.trip_features(features.split_flag(trips, trips.columns)).where("is_test"))
+        test = test.withColumn("traffic_level", features.traffic_ordinal(F.col("traffic_level")))
+        return drift.what_if(test, 1.5).select(*DRIFT_COLUMNS, PREDICTED)
+
+    def errors(df: DataFrame) -> DataFrame:
+        error = F.col(TARGET) - F.col(PREDICTED)
+        return df.agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+
+    return run(
         spark, "stream-drift",
-        lambda f: jobs.drift_stream(current, f, baseline, DRIFT_COLUMNS, method="series"),
+        lambda f: jobs.drift_stream(usable, f, baseline, DRIFT_COLUMNS, errors(baseline), errors, method="series", once=True, derive=tested),
     )
+
+
+@query
+def stream_drift(spark, sf_dir):
+    """The drift summary of the stream; its decision is ``stream_decision``."""
+    folder = drift_streamed(spark, sf_dir)
     return as_text(spark.read.parquet(f"{folder}/summary").drop("batch_id"), "drifted_features")
+
+
+@query
+def stream_decision(spark, sf_dir):
+    """The decision of the drift stream."""
+    decision = spark.read.parquet(f"{drift_streamed(spark, sf_dir)}/decision").drop("batch_id")
+    return rounded(as_text(decision, "reasons", " "), "baseline_rmse", digits=4)

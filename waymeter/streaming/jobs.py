@@ -188,17 +188,31 @@ def drift_stream(
     errors: Callable[[DataFrame], DataFrame] | None = None,
     method: str = "series",
     rules: DriftRules = DriftRules(),
+    once: bool = False,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Drift of each micro-batch against a stored baseline, and the decision that follows.
 
     The baseline is reduced to its value counts once, before the stream starts; a micro-batch adds its
     own. Writes the feature records, the summary and, where an error measure is given, the decision,
     each in a partition per micro-batch.
+
+    ``once``: a row of ``current`` that came before, in the same or an earlier micro-batch, is left out. The rows of
+    each micro-batch are stored for that, and later ones are compared with them. ``derive`` is applied to what
+    is left, before counting; give it where copies can only be told on the whole rows.
     """
     known = drift.value_counts(baseline.withColumn(drift.SIDE, F.lit(False)), columns)
     known = materialize(known, "baseline-counts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if once:
+            session, seen = batch.sparkSession, f"{folder}/seen"
+            own = f"{seen}/batch_id={batch_id}"
+            batch.dropDuplicates().write.mode("overwrite").parquet(own)
+            earlier = session.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(seen)
+            batch = session.read.schema(batch.schema).parquet(own).subtract(earlier.where(F.col("batch_id") < batch_id).drop("batch_id"))
+        if derive is not None:
+            batch = derive(batch)
         if batch.isEmpty():
             return
         batch = batch.persist()
