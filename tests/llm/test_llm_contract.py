@@ -14,4 +14,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n.split("_")[0][2:]) for n in queries.registered()] == list(range(1, 11))
+    assert [int(n.split("_")[0][2:]) for n in queries.registered()] == list(range(1, 14))

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from waymeter.llm import max_sketch_search as M
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(_LOWER))
+
+
+def plain(docs, items, k):
+    """Every document scored for every item, by the formula."""
+    tf = [Counter(terms(t)) for _, t in docs]
+    n = [sum(c.values()) for c in tf]
+    count, total = sum(x > 0 for x in n), sum(n)
+    df = Counter(t for c in tf for t in c)
+    out = []
+    for item, text in items:
+        asked = terms(text)
+        scores = []
+        for (doc, _), c, length in zip(docs, tf, n, strict=True):
+            m = 75 + (25 * length * count) // max(total, 1)
+            score = sum(math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m)) for t in asked if c[t])
+            if score:
+                scores.append((-score, doc is None, doc or 0))
+        out += [(item, rank, None if none else doc, -s) for rank, (s, none, doc) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def check(docs, items, k=20, key="item_id"):
+    rows = lambda df, i: [(r[i], r.text) for r in df.select(i, "text").collect()]
+    found = M.search(docs, items, k, key)
+    assert found.columns == [key, "rank", "doc_id", "score"]
+    got = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert got == plain(rows(docs, "doc_id"), rows(items, key), k)
+    return got
+
+
+@pytest.mark.parametrize(("k", "items", "cells", "seeds"), [(20, 256, 8192, 64), (3, 2, 64, 1)])
+def test_given_tables(given, monkeypatch, k, items, cells, seeds):
+    monkeypatch.setattr(M, "BLOCK_ITEMS", items)
+    monkeypatch.setattr(M, "MOST_CELLS", cells)
+    monkeypatch.setattr(M, "SEEDS", seeds)
+    assert check(given("documents"), given("benchmark").limit(5), k)
+
+
+def test_odd_rows_ties_and_empty_tables(odd, spark):
+    asked = [(1, "ONE two one"), (1, "ONE two one"), (2, None), (3, " .,"), (None, "café x row"), (4, "the same text"), (5, "w5x5 w6000x7 a b"), (6, "nowhere")]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    assert check(odd, items)
+    assert check(odd.union(odd), items, k=4)
+    assert check(odd.limit(0), items) == [] and check(odd, items.limit(0)) == []
+    assert check(spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string"), items) == []
+    assert check(odd, items.withColumnRenamed("item_id", "name"), 2, "name")
+
+
+def test_bounds_are_never_below_scores(given):
+    import pyarrow as pa
+
+    texts = pa.array([r.text for r in given("documents").collect()] + ["x " * 1000], pa.large_string())
+    block = M.Block.of([r.text for r in given("benchmark").limit(8).collect()] + ["x"])
+    s = M.terms(texts)
+    block.docs, block.tokens, block.weight = len(texts), len(s.hash), np.random.default_rng(1).integers(1, 9000, len(block.known)).astype(float)
+    row, h, tf = M.frequencies(s)
+    for size in (64, 1024):
+        cells = np.zeros((len(texts), size), np.uint8)
+        np.maximum.at(cells, (row, (h % np.uint64(size)).astype(int)), np.minimum(tf, 255).astype(np.uint8))
+        bound = M.Bounds(block).of(s.count, pa.array([c.tobytes() for c in cells], pa.binary()))
+        assert (bound >= block.scores(texts, s.count)).all()

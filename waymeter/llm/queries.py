@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import boosted_rules, chat_format, interpolation, label_shards, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
+from waymeter.llm import boosted_rules, byte_bpe, chat_format, interpolation, label_shards, max_sketch_search, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
 from waymeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,10 +141,41 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_sketch_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents),
+doc_terms AS (SELECT d, doc_id, len(terms) AS n, unnest(terms) AS term FROM doc),
+tf AS (SELECT d, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM doc_terms GROUP BY d, term),
+size AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS tokens FROM doc WHERE len(terms) > 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+item AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark),
+item_terms AS (SELECT i, item_id, unnest(terms) AS term FROM item),
+asked AS (SELECT i, any_value(item_id) AS item_id, term, count(*) AS times FROM item_terms GROUP BY i, term),
+weighed AS (
+  SELECT i, item_id, term, times * CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM asked JOIN df USING (term), size
+), scored AS (
+  SELECT i, item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // tokens)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term), size GROUP BY ALL
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded").drop("text")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.digest_of_ids(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat_format, op2_interpolation, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_chat_format, op2_interpolation, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules, op12_max_sketch_search, op13_byte_bpe)}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_chat_format": OP1_SQL, "op6_revisits": OP6_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_revisits": OP6_SQL, "op12_max_sketch_search": OP12_SQL}

@@ -53,8 +53,8 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets from 0, bytes) of a string array; a null is an empty text."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    """(offsets from 0, bytes) of a string or binary array; a null is an empty text."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if not len(texts):
         return np.zeros(1, np.int64), np.zeros(0, np.uint8)
     _, at, data = texts.buffers()
@@ -149,9 +149,8 @@ def _kinds() -> np.ndarray:
     return out
 
 
-def _byte_kinds(data: np.ndarray) -> np.ndarray:
-    """The kind of the character that each byte of UTF-8 text belongs to."""
-    table = _kinds()
+def kinds_of(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The kind, by a table over all code points, of the character that each byte of UTF-8 text belongs to."""
     kind = table[data]
     if len(data) and data.max() >= 128:
         for size, low, high, mask in ((2, 0xC0, 0xE0, 0x1F), (3, 0xE0, 0xF0, 0x0F), (4, 0xF0, 0xF8, 0x07)):
@@ -172,7 +171,7 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[Spans, np.ndarray]:
     or digit (3.14, 12:30) is none.
     """
     n, rows = len(data), len(offsets) - 1
-    kind = _byte_kinds(data)
+    kind = kinds_of(data, _kinds())
     word = (kind == LETTER) | (kind == SINGLE)
     begins, ends = word.copy(), word.copy()
     single = (kind == SINGLE) & ((data & 0xC0) != 0x80)
@@ -192,6 +191,11 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[Spans, np.ndarray]:
     return found, before
 
 
+def hashed(offsets: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Spans:
+    """The given runs of bytes, each within one text, with their hashes; bytes are taken as they are."""
+    return _spans(offsets, data, start, end, len(offsets) - 1, _SAME)
+
+
 def _spans(offsets, data, start, end, rows, fold) -> Spans:
     n = len(data)
     power, inverse = _power("base", _BASE, n + 1), _power("inverse", _BASE_INVERSE, n + 1)
