@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import boosted_rules, byte_bpe, chat_format, interpolation, label_shards, max_sketch_search, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
+from waymeter.llm import boosted_rules, byte_bpe, chat_format, chat_repair, interpolation, label_shards, max_sketch_search, minhash_dedup, packing, rank_profiles, revisits, rule_ensemble, spaced_seeds, stats
 from waymeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,11 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_repair.report(chat_repair.damaged(rows), rows)
+
+
 def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_sketch_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -173,7 +178,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat_format, op2_interpolation, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules, op12_max_sketch_search, op13_byte_bpe)}
+    return {f.__name__: f for f in (op1_chat_format, op2_interpolation, op3_spaced_seeds, op4_minhash_dedup, op5_label_shards, op6_revisits, op7_rank_profiles, op8_rule_ensemble, op9_packing, op10_boosted_rules, op11_chat_repair, op12_max_sketch_search, op13_byte_bpe)}
 
 
 def statements() -> dict[str, str]:
