@@ -19,13 +19,18 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows that pass between the JVM and Python at once. Texts make large batches, whose buffers the JVM keeps outside its heap.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 # Settings the results or the speed of this library depend on, which a running session can still take.
-NEEDED = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")
+NEEDED = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit", "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+# Bytes of a row group of an intermediate table; a writer holds one in memory.
+ROW_GROUP = 32 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -73,5 +78,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
