@@ -31,6 +31,8 @@ FREQUENT_WORDS, FREQUENT_PAIRS = 1 << 17, 1 << 18
 CHUNK_BYTES, LOCAL_COUNT = 4 << 20, 4
 #: Occurrences that a bucket holds, about.
 BUCKET_ROWS = 300_000
+#: Rows that a task hands on at once: large batches stay in the JVM's memory outside its heap.
+OUTPUT_ROWS = 1 << 14
 #: Parts of the documents by crc32 of the id: one is held out, and one of the training parts fits the weights.
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 ROUNDS = 60
@@ -274,7 +276,7 @@ def resolve(routed: DataFrame, f: Frequent, kept_tokens: int) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 if r["class"] == _KEYS:
-                    yield rows(_KEY, np.full(r["docs"], r["chunk"]), np.arange(r["docs"]), v=np.frombuffer(r["x"], np.int64))
+                    yield from rows(_KEY, np.full(r["docs"], r["chunk"]), np.arange(r["docs"]), v=np.frombuffer(r["x"], np.int64))
                     continue
                 wx, wy = _WIDTHS[r["class"]]
                 at = _widen(r["at"], 2 if r["docs"] < 1 << 14 else 4).astype(np.int32)
@@ -299,18 +301,19 @@ def resolve(routed: DataFrame, f: Frequent, kept_tokens: int) -> DataFrame:
         yield from done(_DONE_RARE, names[chunk[:split]], at[:split], cvw[:split], known[y[:split].astype(np.int64)], cw[:split])
         deleted = at[split:] & 3 == _DELETED
         keep = lambda c: pa.array(c[split:, 1], mask=~deleted)
-        yield rows(_OPEN, names[chunk[split:]], at[split:] >> 2, v=y[split:].view(np.int64), cvw=cvw[split:, 0], cw=cw[split:, 0], kept_cvw=keep(cvw), kept_cw=keep(cw))
-        yield rows(_WORD, np.zeros(len(rare_words), np.int64), np.zeros(len(rare_words), np.int64), v=rare_words.view(np.int64), cw=rare_counts[:, 0], kept_cw=rare_counts[:, 1])
+        yield from rows(_OPEN, names[chunk[split:]], at[split:] >> 2, v=y[split:].view(np.int64), cvw=cvw[split:, 0], cw=cw[split:, 0], kept_cvw=keep(cvw), kept_cw=keep(cw))
+        yield from rows(_WORD, np.zeros(len(rare_words), np.int64), np.zeros(len(rare_words), np.int64), v=rare_words.view(np.int64), cw=rare_counts[:, 0], kept_cw=rare_counts[:, 1])
         # Frequent words after them.
         chunk, at, x, y = take(_AFTER_RARE)
         place = _find(rare_words, x)
         cv = np.zeros((len(place), 2), np.int64)
         cv[place >= 0] = rare_counts[place[place >= 0]]
         yield from done(_DONE, names[chunk], at, _both(W.mix(x ^ W.mix(y, 8), 9), at & 3)[0], cv, known[y.astype(np.int64)])
+        W.release()
 
     def done(kind: int, chunk, at, cvw, cv, cw) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((at, chunk))
-        yield rows(kind, chunk[order], at[order] >> 2, cvw=cvw[order, 0], cv=cv[order, 0], cw=cw[order, 0])
+        yield from rows(kind, chunk[order], at[order] >> 2, cvw=cvw[order, 0], cv=cv[order, 0], cw=cw[order, 0])
         on = at & 3 == _DELETED
         b = buckets_of(cv[on, 1])
         p2, p1 = cvw[on, 1] / np.maximum(cv[on, 1], 1), cw[on, 1] / max(kept_tokens, 1)
@@ -318,11 +321,16 @@ def resolve(routed: DataFrame, f: Frequent, kept_tokens: int) -> DataFrame:
         _, first, group = np.unique(cell, return_index=True, return_inverse=True)
         size = len(first)
         none = np.zeros(size, np.int64)
-        yield rows(_CELL, none, b[first], n=np.bincount(group, minlength=size).astype(float), p2=np.bincount(group, p2, size), p1=np.bincount(group, p1, size))
+        yield from rows(_CELL, none, b[first], n=np.bincount(group, minlength=size).astype(float), p2=np.bincount(group, p2, size), p1=np.bincount(group, p1, size))
 
     kinds = {"kind": pa.int32(), "at": pa.int32(), "n": pa.float64(), "p2": pa.float64(), "p1": pa.float64()}
 
-    def rows(kind: int, chunk: np.ndarray, at: np.ndarray, **columns) -> pa.RecordBatch:
+    def rows(kind: int, chunk: np.ndarray, at: np.ndarray, **columns) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(chunk), OUTPUT_ROWS):
+            part = slice(start, start + OUTPUT_ROWS)
+            yield some(kind, chunk[part], at[part], **{name: c[part] for name, c in columns.items()})
+
+    def some(kind: int, chunk: np.ndarray, at: np.ndarray, **columns) -> pa.RecordBatch:
         n = len(chunk)
         columns |= {"kind": np.full(n, kind), "chunk": chunk, "at": at}
         names = [c.split()[0] for c in _RESOLVED.split(", ")]

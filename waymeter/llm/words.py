@@ -6,6 +6,7 @@ table, words are the runs between separators, and a word's 64-bit hash is the di
 
 from __future__ import annotations
 
+import ctypes
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -73,7 +74,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
-        pa.default_memory_pool().release_unused()
+        release()
+    release()
+
+
+@cache
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def release() -> None:
+    """Give freed memory back: workers stay for later tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 @dataclass
