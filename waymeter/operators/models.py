@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.operators.metrics import compared_metrics, evaluation_report
+from waymeter.operators.newton import NewtonSettings, fit_newton
 from waymeter.params import CATEGORICAL, TARGET, TRAFFIC_ORDINAL, ModelSettings, TripRules
 
 Fit = Callable[[DataFrame], Model]
@@ -73,7 +74,7 @@ def candidates(settings: ModelSettings = ModelSettings()) -> dict[str, Fit]:
         "RidgeRegression": lambda train: fit_ridge(train, settings.ridge_alpha),
         "RandomForest": lambda train: fit_forest(train, settings),
         "GradientBoosting": lambda train: fit_boosting(train, settings),
-        "SampledBoosting": lambda train: fit_boosting(train, settings, sample=0.8),
+        "NewtonBoosting": lambda train: fit_newton(train, NewtonSettings(settings.boost_rounds, settings.boost_depth, settings.boost_rate)),
     }
 
 
@@ -171,7 +172,7 @@ def feature_importances(model: Model, names: Sequence[str], top: int = 20) -> Da
     """The ``top`` features by importance. The table has one row per model feature."""
     from pyspark.sql import SparkSession
 
-    weights = model.featureImportances.toArray()
+    weights = model.importances() if hasattr(model, "importances") else model.featureImportances.toArray()
     rows = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, weights))]
     schema = T.StructType(
         [

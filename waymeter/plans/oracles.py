@@ -644,11 +644,27 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
     counts = "SELECT count(*) FILTER (is_test) AS test, count(*) FILTER (NOT is_test) AS train FROM feats"
     out["model_metrics_checks"] = on_feats(
         "SELECT CAST(ord AS INTEGER) AS ord, model, split, CASE split WHEN 'test' THEN test ELSE train END AS n, true AS in_order"
-        " FROM (VALUES (0, 'RidgeRegression'), (1, 'RandomForest'), (2, 'GradientBoosting'), (3, 'SampledBoosting')) m(ord, model)"
+        " FROM (VALUES (0, 'RidgeRegression'), (1, 'RandomForest'), (2, 'GradientBoosting'), (3, 'NewtonBoosting')) m(ord, model)"
         f" CROSS JOIN (VALUES ('train'), ('test')) s(split) CROSS JOIN ({counts})"
     )
     out["leaderboard_checks"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS record_is_first, true AS record_is_lowest"
     out["importance_checks"] = "SELECT CAST(20 AS BIGINT) AS listed, CAST(1 AS DOUBLE) AS total, true AS are_the_largest"
+    out["newton_splits"] = on_feats(
+        f"""SELECT feature, cut, round(gain, 3) AS gain, round(l, 6) AS left_value, round(r, 6) AS right_value FROM (
+  SELECT feature, cut, (gl * gl / (hl + 1) + gr * gr / (hr + 1) - power(gl + gr, 2) / (hl + hr + 1)) / 2 AS gain,
+    -gl / (hl + 1) * 0.1 AS l, -gr / (hr + 1) * 0.1 AS r
+  FROM (
+    SELECT c.feature, c.cut, sum(CASE WHEN v.value <= c.cut THEN g END) AS gl, count(CASE WHEN v.value <= c.cut THEN 1 END) AS hl,
+      sum(CASE WHEN v.value > c.cut THEN g END) AS gr, count(CASE WHEN v.value > c.cut THEN 1 END) AS hr
+    FROM cells v JOIN (SELECT DISTINCT feature, value AS cut FROM cells) c USING (feature) GROUP BY c.feature, c.cut)
+  WHERE hr > 0)""",
+        f"""vals AS (
+  SELECT (SELECT avg(actual_eta_minutes) FROM feats WHERE NOT is_test) - actual_eta_minutes AS g, unnest([
+    {{'feature': 'pickup_hour', 'value': CAST(pickup_hour AS DOUBLE)}}, {{'feature': 'month', 'value': CAST(month AS DOUBLE)}},
+    {{'feature': 'passenger_count', 'value': CAST(passenger_count AS DOUBLE)}}, {{'feature': 'traffic_level', 'value': CAST({ORDINAL} AS DOUBLE)}}]) AS e
+  FROM feats WHERE NOT is_test),
+cells AS (SELECT e.feature AS feature, e.value AS value, g FROM vals)""",
+    )
     out["ridge_residuals"] = on_feats(f"SELECT CAST(0 AS BIGINT) AS unbalanced, train AS n FROM ({counts})")
     out["stream_scored_model"] = on_feats(
         "SELECT count(*) AS answers, CAST(0 AS BIGINT) AS unlike FROM reqfeats", REQUESTS, CHECKED, REQFEATS

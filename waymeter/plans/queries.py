@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.operators import clean, drift, features, metrics, models, policy, score, validate
+from waymeter.operators import clean, drift, features, metrics, models, newton, policy, score, validate
 from waymeter.params import CATEGORICAL, NUMERIC, TARGET, Floors, ModelSettings
 from waymeter.schemas import DRIFT_REPORT, MODEL_METADATA
 from waymeter.session import materialize, scratch_path
@@ -656,6 +656,16 @@ def gbt_metrics(spark, sf_dir):
     return candidate_metrics(spark, sf_dir).where("model = 'GradientBoosting'")
 
 
+@query
+def newton_splits(spark, sf_dir):
+    """Every split that the root of the first boosted tree could take, with its gain and leaf values."""
+    names = ["pickup_hour", "month", "passenger_count", "traffic_level"]
+    train = numeric_rows(featured(spark, sf_dir).where("NOT is_test")).select(*names, TARGET)
+    found = newton.root_splits(features.assemble(train, names))
+    name = F.get(F.array(*[F.lit(n) for n in names]), F.col("feature"))
+    return rounded(rounded(found.withColumn("feature", name), "gain", digits=3), "left_value", "right_value")
+
+
 @query
 def ridge_residuals(spark, sf_dir):
     """Normal equations of the ridge on every feature: what is left of each, relative to the rows.
