@@ -11,33 +11,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waymeter.llm import boosted_rules, minhash_dedup, packing, rule_ensemble, spaced_seeds
 from waymeter.llm.tables import table
-from waymeter.session import scratch_path
+from waymeter.session import prepare, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the boosted trees."""
+    prepare(spark)
     return boosted_rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores as good."""
+    prepare(spark)
     return rule_ensemble.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    prepare(spark)
     return minhash_dedup.dedup(docs, size=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    prepare(spark)
     return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"), spaced_seeds.SHORT_CHANGES)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 ids."""
+    prepare(spark)
     return packing.pack(docs)
 
 
