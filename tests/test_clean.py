@@ -85,3 +85,10 @@ def test_clean_does_not_depend_on_partitions(spark, partitions):
         found.append((out.count(), out.agg(F.sum(F.col("h") % 1000)).first()[0]))
     assert len(set(found)) == 1
     assert found[0][0] == 4822
+
+
+def test_accounting_of_the_write_equals_the_batch_accounting(spark, tmp_path):
+    for k, trips in enumerate((fixtures.trips(spark, SF), fixtures.trips(spark, SF).limit(0), fixtures.trips(spark, SF).drop("actual_eta_minutes"))):
+        got = clean.write_clean(trips, f"{tmp_path}/{k}")
+        assert got.first() == clean.account(trips).first() and got.columns == clean.account(trips).columns
+        assert spark.read.parquet(f"{tmp_path}/{k}").exceptAll(clean.clean(trips)).isEmpty()

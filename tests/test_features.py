@@ -173,7 +173,7 @@ def test_feature_model_fit_on_train_only(spark):
 
 
 def test_too_many_categories_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
+    monkeypatch.setattr(features, "DENSE_COLUMNS", 3)
     with pytest.raises(ValueError, match="too many"):
         features.FeatureModel.fit(toy(spark), F.col("is_train"))
 

@@ -10,7 +10,7 @@ from waymeter.params import ModelSettings
 from waymeter.plans import queries
 from waymeter.schemas import REQUEST
 
-SMALL = ModelSettings(forest_trees=5, forest_depth=4, boost_rounds=3, boost_depth=3)
+SMALL = ModelSettings(forest_trees=5, forest_depth=4, boost_rounds=3, boost_depth=3, newton_rounds=3)
 SF = "/root/testdata/sf0.001"
 
 

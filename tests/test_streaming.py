@@ -174,3 +174,36 @@ def test_drift_stream_counts_copies_once(spark, tmp_path):
     jobs.finish(jobs.drift_stream(stream, f"{tmp_path}/out", baseline, ["x"], method="series", rules=DriftRules(min_samples=1), once=True, derive=lambda df: df.select("x")))
     stored = spark.read.parquet(f"{tmp_path}/out/features")
     assert [(r.ref_rows, r.curr_rows, r.curr_mean) for r in stored.orderBy("batch_id").collect()] == [(10, 2, 6.0), (10, 2, 7.0)]
+
+
+def test_copies_are_told_from_earlier_runs_by_the_state(spark, tmp_path):
+    """A restart finds the hashes of earlier micro-batches; rows are not read again."""
+    schema = "id long, note string, x double"
+    source = f"{tmp_path}/in"
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def take():
+        stream = jobs.file_stream(spark, source, spark.read.parquet(source).schema)
+        jobs.finish(jobs.append_to(jobs.drop_copies(stream), f"{tmp_path}/out"))
+        return sorted((r.id, r.note or "", r.x) for r in spark.read.parquet(f"{tmp_path}/out/data").collect())
+
+    arrive([(1, "a", 5.0), (1, "a", 5.0), (2, None, 7.0)])
+    assert take() == [(1, "a", 5.0), (2, "", 7.0)]
+    arrive([(2, None, 7.0), (1, "a", 5.0), (1, None, 5.0), (3, "c", 5.0)])
+    assert take() == [(1, "", 5.0), (1, "a", 5.0), (2, "", 7.0), (3, "c", 5.0)]
+    arrive([(3, "c", 5.0)])
+    assert len(take()) == 4
+
+
+def test_cleaning_counts_what_each_batch_drops(spark, lineitem, tmp_path):
+    folder, schema = lineitem
+    raw = fixtures.trips_from(jobs.file_stream(spark, folder, schema, files_per_batch=1))
+    jobs.finish(jobs.clean_stream(raw, str(tmp_path)))
+    found = spark.read.parquet(f"{tmp_path}/accounting").orderBy("batch_id").collect()
+    assert len(found) == 3
+    kept = {r.batch_id: r["count"] for r in spark.read.parquet(f"{tmp_path}/valid").groupBy("batch_id").count().collect()}
+    for r in found:
+        assert r.kept_rows == kept[r.batch_id] and r.initial_rows == r.kept_rows + r.dropped_rows
+    assert sum(r.initial_rows for r in found) == fixtures.trips(spark, SF).count()

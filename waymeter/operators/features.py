@@ -29,9 +29,8 @@ from waymeter.session import materialize
 from waymeter.sources.locations import location_dimension
 
 PLACES = ("pickup_location", "drop_location")
-# A one-hot column exists per category, so a plan cannot hold more than this. Beyond it fitting
-# fails with a message; nothing is cut off.
-MAX_CATEGORIES = 5_000
+# Columns of the dense view, which has one for each category. A larger vocabulary takes the sparse encoder, which has no such bound.
+DENSE_COLUMNS = 5_000
 
 
 # --- calendar and distance -------------------------------------------------------------------
@@ -236,6 +235,26 @@ def exact_split(df: DataFrame, key: Sequence[str] | None = None, test_share: flo
 # --- the fitted model ------------------------------------------------------------------------
 
 
+def category_counts(df: DataFrame, is_train: Column) -> DataFrame:
+    """(column, value, n_all, n_train) of the non-null values of the categorical columns, in one aggregation."""
+    return (
+        df.select(is_train.cast("long").alias("_train"), _pairs(CATEGORICAL))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n_all"), F.sum("_train").alias("n_train"))
+    )
+
+
+def numeric_feature(df: DataFrame, name: str) -> Column:
+    """A numeric feature as a double: 0 if the table lacks it, traffic as its ordinal."""
+    if name not in df.columns:
+        return F.lit(0.0).alias(name)
+    c = F.col(name)
+    if name == "traffic_level" and dict(df.dtypes)[name] == "string":
+        c = traffic_ordinal(c)
+    return c.cast("double").alias(name)
+
+
 @dataclass
 class FeatureModel:
     """What feature engineering learned from the training trips.
@@ -271,25 +290,16 @@ class FeatureModel:
         Places are counted over all rows before the split (``fit_on="all"``), or over the training
         rows only (``"train"``); categories always come from the training rows. All categorical
         columns are counted in one aggregation. Only frequent places and other categories reach the
-        driver, and their number is checked; the rare ones stay a count.
+        driver, and their number is checked; the rare ones stay a count. A vocabulary of any size is
+        the sparse encoder's.
         """
-        # Nulls are no category here; cleaned trips hold none.
-        counts = (
-            df.select(is_train.cast("long").alias("_train"), _pairs(CATEGORICAL))
-            .where(F.col("value").isNotNull())
-            .groupBy("column", "value")
-            .agg(
-                F.count(F.lit(1)).alias("n_all"),
-                F.sum("_train").alias("n_train"),
-            )
-        )
-        counts = materialize(counts, "categories")
+        counts = materialize(category_counts(df, is_train), "categories")
         n = F.col("n_train") if fit_on == "train" else F.col("n_all")
         is_place = F.col("column").isin(*PLACES)
         is_rare = is_place & (n < rules.rare_below)
         frequent = counts.where(~is_rare)
-        if frequent.limit(MAX_CATEGORIES + 1).count() > MAX_CATEGORIES:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories: too many for one column each")
+        if frequent.limit(DENSE_COLUMNS + 1).count() > DENSE_COLUMNS:
+            raise ValueError(f"more than {DENSE_COLUMNS} categories: too many for one column each, use encoding.SparseEncoder")
         rows = frequent.collect()
         rare = {
             r["column"]: r
@@ -307,6 +317,21 @@ class FeatureModel:
             categories[c] = sorted(seen)
         return FeatureModel(kept, categories, rare={c: r["values"] for c, r in rare.items()})
 
+    @staticmethod
+    def of_index(index: DataFrame, numeric: tuple[str, ...] = NUMERIC) -> FeatureModel:
+        """The dense view of a table (column, value, place) of categories."""
+        if index.limit(DENSE_COLUMNS + 1).count() > DENSE_COLUMNS:
+            raise ValueError(f"more than {DENSE_COLUMNS} categories: too many for one column each")
+        rows = index.collect()
+        kept = {c: sorted(r["value"] for r in rows if r["column"] == c and r["value"] != OTHER) for c in PLACES}
+        categories = {}
+        for c in CATEGORICAL:
+            placed = sorted((r["place"], r["value"]) for r in rows if r["column"] == c and r["place"] is not None)
+            # The baseline stands before the first place; frequent places without training rows have neither.
+            base = [r["value"] for r in rows if r["column"] == c and r["place"] is None and r["baseline"]]
+            categories[c] = [*base, *[v for _, v in placed]]
+        return FeatureModel(kept, categories, numeric)
+
     def group_places(self, df: DataFrame) -> DataFrame:
         """Places that were rare while fitting → "Other".
 
@@ -330,18 +355,10 @@ class FeatureModel:
             df = self.group_places(df)
         return df.select(
             *[quoted(c) for c in keep],
-            *[self._numeric(df, c) for c in self.numeric],
+            *[numeric_feature(df, c) for c in self.numeric],
             *self._dummies(),
         )
 
-    def _numeric(self, df: DataFrame, name: str) -> Column:
-        if name not in df.columns:
-            return F.lit(0.0).alias(name)
-        c = F.col(name)
-        if name == "traffic_level" and dict(df.dtypes)[name] == "string":
-            c = traffic_ordinal(c)
-        return c.cast("double").alias(name)
-
     def _dummies(self) -> list[Column]:
         return [
             F.when(F.col(c) == F.lit(v), 1.0).otherwise(0.0).alias(f"{c}_{v}")

@@ -22,21 +22,34 @@ from waymeter.params import CATEGORICAL, TARGET, TRAFFIC_ORDINAL, ModelSettings,
 Fit = Callable[[DataFrame], Model]
 
 
+#: Features up to which the normal equations are solved at once; they have a row and a column each.
+NORMAL_FEATURES = 4096
+
+
 def fit_ridge(train: DataFrame, alpha: float = ModelSettings.ridge_alpha, features: str = "features",
-              target: str = TARGET) -> LinearRegressionModel:
+              target: str = TARGET, solver: str = "auto") -> LinearRegressionModel:
     """Least squares with ``alpha`` times the squared coefficients added; the intercept is free.
 
     MLlib divides the squared error by 2n and scales the penalty by the target's deviation, so
-    ``alpha`` becomes ``alpha * deviation / n``. The normal-equation solver needs one pass.
+    ``alpha`` becomes ``alpha * deviation / n``. ``"normal"`` needs one pass and sums of all products of
+    two features; ``"l-bfgs"`` needs a pass for each step and sums of one number a feature. Both minimise
+    the same penalised error; ``"auto"`` takes the first while a vector has at most NORMAL_FEATURES elements.
     """
-    size = train.agg(F.count(target).alias("n"), F.stddev_pop(target).alias("sd")).first()
+    vector = F.unwrap_udt(features)
+    n_features = F.max(F.coalesce(vector["size"], F.size(vector["values"])))
+    size = train.agg(F.count(target).alias("n"), F.stddev_pop(target).alias("sd"), F.stddev_samp(target).alias("sd1"), n_features.alias("m")).first()
+    if solver == "auto":
+        solver = "normal" if (size["m"] or 0) <= NORMAL_FEATURES else "l-bfgs"
+    deviation = size["sd"] if solver == "normal" else size["sd1"]  # the two solvers scale by different ones
     return LinearRegression(
         featuresCol=features,
         labelCol=target,
-        solver="normal",
+        solver=solver,
         elasticNetParam=0.0,
         standardization=False,
-        regParam=alpha * (size["sd"] or 0.0) / max(size["n"], 1),
+        regParam=alpha * (deviation or 0.0) / max(size["n"], 1),
+        maxIter=1000,
+        tol=1e-12,
     ).fit(train)
 
 
@@ -74,7 +87,7 @@ def candidates(settings: ModelSettings = ModelSettings()) -> dict[str, Fit]:
         "RidgeRegression": lambda train: fit_ridge(train, settings.ridge_alpha),
         "RandomForest": lambda train: fit_forest(train, settings),
         "GradientBoosting": lambda train: fit_boosting(train, settings),
-        "NewtonBoosting": lambda train: fit_newton(train, NewtonSettings(settings.boost_rounds, settings.boost_depth, settings.boost_rate)),
+        "NewtonBoosting": lambda train: fit_newton(train, NewtonSettings(settings.newton_rounds, settings.boost_depth, settings.newton_rate)),
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymeter.operators.encoding import SparseEncoder
 from waymeter.operators.features import FeatureModel, request_features
 from waymeter.operators.metrics import baseline_minutes, floored
 from waymeter.params import Floors
@@ -23,8 +24,8 @@ def baseline_predictor(df: DataFrame) -> DataFrame:
     return df.withColumn(PREDICTION, minutes)
 
 
-def model_predictor(features: FeatureModel, model: Model) -> Predictor:
-    """Predictor from a fitted feature model and regressor."""
+def model_predictor(features: FeatureModel | SparseEncoder, model: Model) -> Predictor:
+    """Predictor from a fitted feature model, dense or sparse, and a regressor."""
 
     def predict(df: DataFrame) -> DataFrame:
         carried = [c for c in df.columns if c not in features.numeric]

@@ -649,6 +649,15 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
     )
     out["leaderboard_checks"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS record_is_first, true AS record_is_lowest"
     out["importance_checks"] = "SELECT CAST(20 AS BIGINT) AS listed, CAST(1 AS DOUBLE) AS total, true AS are_the_largest"
+    out["many_places"] = on_feats(
+        """SELECT CAST(10 + row_number() OVER (ORDER BY value) - 2 AS INTEGER) AS position, 'pickup_location_' || value AS feature, n FROM cats
+QUALIFY row_number() OVER (ORDER BY value) > 1""",
+        """placed AS (SELECT pickup_location || ' ' || pickup_time AS place, is_test FROM feats),
+counted AS (SELECT place, count(*) AS n, count(*) FILTER (WHERE NOT is_test) AS n_train FROM placed GROUP BY place),
+cats AS (SELECT CASE WHEN n < 2 THEN 'Other' ELSE place END AS value, CAST(sum(n) AS BIGINT) AS n FROM counted
+  GROUP BY ALL HAVING sum(n_train) > 0)""",
+    )
+    out["clean_written"] = out["stream_accounting"] = out["clean_accounting"]
     out["newton_splits"] = on_feats(
         f"""SELECT feature, cut, round(gain, 3) AS gain, round(l, 6) AS left_value, round(r, 6) AS right_value FROM (
   SELECT feature, cut, (gl * gl / (hl + 1) + gr * gr / (hr + 1) - power(gl + gr, 2) / (hl + hr + 1)) / 2 AS gain,

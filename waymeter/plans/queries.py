@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.operators import clean, drift, features, metrics, models, newton, policy, score, validate
-from waymeter.params import CATEGORICAL, NUMERIC, TARGET, Floors, ModelSettings
+from waymeter.operators import clean, drift, encoding, features, metrics, models, newton, policy, score, validate
+from waymeter.params import CATEGORICAL, NUMERIC, TARGET, Floors, ModelSettings, TripRules
 from waymeter.schemas import DRIFT_REPORT, MODEL_METADATA
 from waymeter.session import materialize, scratch_path
 from waymeter.sources import fixtures, readers, writers
@@ -95,6 +94,12 @@ def clean_accounting(spark, sf_dir):
     return clean.account(fixtures.trips(spark, sf_dir))
 
 
+@query
+def clean_written(spark, sf_dir):
+    """The accounting of the job that writes the clean trips."""
+    return clean.write_clean(fixtures.trips(spark, sf_dir), scratch_path(spark, "clean"))
+
+
 @query
 def dedupe_rows(spark, sf_dir):
     return clean.standardize(fixtures.trips(spark, sf_dir)).dropDuplicates()
@@ -239,6 +244,13 @@ def fitted(rows: DataFrame) -> features.FeatureModel:
     return features.FeatureModel.fit(rows, ~F.col("is_test"))
 
 
+def sparse_rows(spark: SparkSession, sf_dir: str) -> tuple[encoding.SparseEncoder, DataFrame]:
+    """The sparse encoder of all trips, and their vectors with target and split flag."""
+    rows = stored_features(spark, sf_dir)
+    encoder = encoding.SparseEncoder.fit(rows, ~F.col("is_test"))
+    return encoder, encoder.transform(rows, keep=[TARGET, "is_test"]).select("features", TARGET, "is_test")
+
+
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table as a stage border: written once for the passes that follow."""
     return materialize(featured(spark, sf_dir), "features")
@@ -259,6 +271,18 @@ def training_features(spark, sf_dir):
     return fitted(rows).transform(rows, keep=[TARGET, "is_test"])
 
 
+@query
+def many_places(spark, sf_dir):
+    """A place for every pickup location and minute: how many trips each element of the sparse vector has."""
+    rows = featured(spark, sf_dir).withColumn("pickup_location", F.concat_ws(" ", "pickup_location", "pickup_time"))
+    rows = materialize(rows, "places")
+    encoder = encoding.SparseEncoder.fit(rows, ~F.col("is_test"), TripRules(rare_below=2))
+    stored = F.explode(F.arrays_zip(newton.entries("features")["at"], newton.entries("features")["value"]))
+    hot = encoder.transform(rows).select(stored.alias("e")).select(F.col("e.at").alias("position"), F.col("e.value").alias("value"))
+    counts = hot.where((F.col("position") >= len(NUMERIC)) & (F.col("value") == 1)).groupBy("position").agg(F.count("*").alias("n"))
+    return encoder.names().where(F.col("feature").startswith("pickup_location_")).join(counts, "position", "left").select("position", "feature", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @query
 def request_feature_vector(spark, sf_dir):
     model = fitted(featured(spark, sf_dir))
@@ -568,21 +592,22 @@ def ridge_responses(spark, sf_dir):
     return answers.drop("timestamp")
 
 
-# Fits of a session by folder of tables: folder of the stored models and of the encoded rows.
-_fits: dict[tuple[str, str], tuple[features.FeatureModel, dict, DataFrame]] = {}
+# Fits of a session by application and content of the encoded rows: encoder, stored models and rows.
+_fits: dict[tuple, tuple[encoding.SparseEncoder, dict, DataFrame]] = {}
 
 
 def fitted_candidates(spark: SparkSession, sf_dir: str):
     """(encoder, models, encoded rows): all candidates with their default sizes, fitted on every feature.
 
-    The fits take most of the time of the queries below, so a session keeps them, as stored tables and models.
+    The fits take most of the time of the queries below, so a session keeps them, as stored tables and models. They are found by a
+    checksum of the encoded rows, so other rows under the same path are fitted anew.
     """
-    key = spark.sparkContext.applicationId, sf_dir
+    encoder, encoded = sparse_rows(spark, sf_dir)
+    encoded = materialize(encoded, "encoded")
+    vector = F.unwrap_udt("features")
+    digest = F.xxhash64(vector["indices"], vector["values"], TARGET, "is_test")
+    key = spark.sparkContext.applicationId, *encoded.agg(F.count("*"), F.bit_xor(digest), F.sum(F.shiftright(digest, 20))).first()
     if key not in _fits:
-        rows = stored_features(spark, sf_dir)
-        encoder = fitted(rows)
-        encoded = encoder.assemble(encoder.transform(rows, keep=[TARGET, "is_test"])).select("features", TARGET, "is_test")
-        encoded = materialize(encoded, "encoded")
         found = models.fit_all(encoded.where("NOT is_test").select("features", TARGET), models.candidates())
         stored = {}
         for name, model in found.items():
@@ -661,7 +686,7 @@ def newton_splits(spark, sf_dir):
     """Every split that the root of the first boosted tree could take, with its gain and leaf values."""
     names = ["pickup_hour", "month", "passenger_count", "traffic_level"]
     train = numeric_rows(featured(spark, sf_dir).where("NOT is_test")).select(*names, TARGET)
-    found = newton.root_splits(features.assemble(train, names))
+    found = newton.root_splits(features.assemble(train, names), newton.NewtonSettings(rate=0.1))
     name = F.get(F.array(*[F.lit(n) for n in names]), F.col("feature"))
     return rounded(rounded(found.withColumn("feature", name), "gain", digits=3), "left_value", "right_value")
 
@@ -672,12 +697,14 @@ def ridge_residuals(spark, sf_dir):
 
     The gradient of the squared error and of the penalty is 0 for every coefficient at the optimum.
     """
-    encoder, found, encoded = fitted_candidates(spark, sf_dir)
-    model = found["RidgeRegression"]
-    rows = model.transform(encoded.where("NOT is_test"))
+    encoder, encoded = sparse_rows(spark, sf_dir)
+    train = materialize(encoded.where("NOT is_test").select("features", TARGET), "ridge-rows")
+    model = models.fit_ridge(train)
+    rows = model.transform(train)
     gap = F.col(TARGET) - F.col(model.getPredictionCol())
-    x = vector_to_array("features")
-    sums = rows.select(F.posexplode(F.transform(x, lambda v: v * gap)).alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+    stored = F.explode(F.arrays_zip(newton.entries("features")["at"], newton.entries("features")["value"])).alias("e")
+    sums = rows.select(stored, gap.alias("gap")).groupBy(F.col("e.at").alias("at")).agg(F.sum(F.col("e.value") * F.col("gap")).alias("v"))
+    sums = sums.crossJoin(rows.agg(F.count("*").alias("n")))  # one row
     terms = spark.createDataFrame([(k, n, float(c)) for k, (n, c) in enumerate(zip(encoder.columns, model.coefficients.toArray()))], "at int, feature string, c double")
     left = F.abs(F.col("v") - ModelSettings.ridge_alpha * F.col("c")) / F.col("n")
     return terms.join(sums, "at").agg(F.count_if(left > 1e-3).alias("unbalanced"), F.max("n").alias("n"))
@@ -685,9 +712,8 @@ def ridge_residuals(spark, sf_dir):
 
 def full_ridge(spark: SparkSession, sf_dir: str):
     """Feature model and ridge on all features, with the encoded test rows."""
-    rows = stored_features(spark, sf_dir)
-    encoder = fitted(rows)
-    table = encoder.assemble(encoder.transform(rows, keep=[TARGET, "is_test"]))
+    encoder, table = sparse_rows(spark, sf_dir)
+    table = materialize(table, "ridge-rows")
     train, test = table.where("NOT is_test"), table.where("is_test")
     return encoder, models.fit_ridge(train.select("features", TARGET)), test
 
@@ -728,7 +754,7 @@ def batch_scoring_checks(spark, sf_dir):
     encoder, model, _ = full_ridge(spark, sf_dir)
     valid, _ = validate.split_requests(fixtures.requests(spark, sf_dir))
     answers = batch_scoring(spark, sf_dir).select("request_id", "eta_minutes")
-    rows = encoder.transform(features.request_features(valid), keep=["request_id"], group_rare=False)
+    rows = encoder.dense().transform(features.request_features(valid), keep=["request_id"], group_rare=False)
     total = F.lit(float(model.intercept))
     for name, c in zip(encoder.columns, model.coefficients.toArray()):
         total = total + features.quoted(name) * float(c)
@@ -974,6 +1000,15 @@ def drift_streamed(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+@query
+def stream_accounting(spark, sf_dir):
+    """What the cleaning stream dropped, added up over its micro-batches."""
+    raw = fixtures.trips_from(streamed(spark, sf_dir, "lineitem"))
+    folder = run(spark, "stream-accounting", lambda f: jobs.clean_stream(raw, f))
+    rows = spark.read.parquet(f"{folder}/accounting").drop("batch_id")
+    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
+
+
 @query
 def stream_drift(spark, sf_dir):
     """The drift summary of the stream; its decision is ``stream_decision``."""

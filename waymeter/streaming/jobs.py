@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from waymeter.functions.columns import quoted
 from waymeter.operators import clean as cleaning
 from waymeter.operators import drift, metrics, policy, score, validate
 from waymeter.params import DriftRules, TripRules
@@ -99,17 +100,19 @@ def finish(query: StreamingQuery) -> None:
 
 
 def clean_stream(raw: DataFrame, folder: str, rules: TripRules = TripRules()) -> StreamingQuery:
-    """Incoming trips → ``valid`` and ``rejected`` tables.
+    """Incoming trips → ``valid`` and ``rejected`` tables, and a row of ``accounting`` for each micro-batch.
 
     Copies are removed within a micro-batch. Copies of a row that came in different batches are
-    removed by :func:`cleaned_so_far`, which needs no unbounded state.
+    removed by :func:`cleaned_so_far`, which needs no unbounded state. The job that writes the valid rows
+    counts what it drops.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         std = cleaning.standardize(batch).persist()
         try:
-            usable = cleaning.drop_unusable(std, rules).dropDuplicates()
-            usable.write.mode("overwrite").parquet(f"{folder}/valid/batch_id={batch_id}")
+            usable = cleaning.Accounted(std, rules)
+            usable.rows.write.mode("overwrite").parquet(f"{folder}/valid/batch_id={batch_id}")
+            usable.counts().coalesce(1).write.mode("overwrite").parquet(f"{folder}/accounting/batch_id={batch_id}")
             std.where(cleaning.rejected(std, rules)).write.mode("overwrite").parquet(
                 f"{folder}/rejected/batch_id={batch_id}"
             )
@@ -164,6 +167,17 @@ def drop_repeats(df: DataFrame, key: Sequence[str], salts: int = SALTS) -> DataF
     return salted.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(list(key))
 
 
+def drop_copies(df: DataFrame, remember: str = "7 days") -> DataFrame:
+    """Leave out rows that are equal to one that came before, in any micro-batch.
+
+    The state keeps a hash of each row, keyed by it, for ``remember`` after the row arrived, so a micro-batch costs the
+    same however many went before. ``df`` must not have a watermark of its own.
+    """
+    row = F.md5(F.to_json(F.struct(*[quoted(c) for c in df.columns])))
+    arrived = df.withColumns({"_row": row, "_arrival": F.current_timestamp()}).withWatermark("_arrival", remember)
+    return drop_repeats(arrived, ["_row"]).drop("_row", "_arrival")
+
+
 def dedupe_stream(log: DataFrame, folder: str, key: Sequence[str] = ("event_id",)) -> StreamingQuery:
     """Drop repeated requests; the state of a key is dropped once the watermark has passed it."""
     return append_to(drop_repeats(log, key), folder)
@@ -197,25 +211,18 @@ def drift_stream(
     own. Writes the feature records, the summary and, where an error measure is given, the decision,
     each in a partition per micro-batch.
 
-    ``once``: a row of ``current`` that came before, in the same or an earlier micro-batch, is left out. The rows of
-    each micro-batch are stored for that, and later ones are compared with them. ``derive`` is applied to what
-    is left, before counting; give it where copies can only be told on the whole rows.
+    ``once``: a row of ``current`` that came before, in the same or an earlier micro-batch, is left out; see
+    :func:`drop_copies`. ``derive`` is applied to what is left, before counting; give it where copies can only be told
+    on the whole rows.
     """
     known = drift.value_counts(baseline.withColumn(drift.SIDE, F.lit(False)), columns)
     known = materialize(known, "baseline-counts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if once:
-            session, seen = batch.sparkSession, f"{folder}/seen"
-            own = f"{seen}/batch_id={batch_id}"
-            batch.dropDuplicates().write.mode("overwrite").parquet(own)
-            earlier = session.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(seen)
-            batch = session.read.schema(batch.schema).parquet(own).subtract(earlier.where(F.col("batch_id") < batch_id).drop("batch_id"))
-        if derive is not None:
-            batch = derive(batch)
+        batch = (derive(batch) if derive is not None else batch).persist()
         if batch.isEmpty():
+            batch.unpersist()
             return
-        batch = batch.persist()
         try:
             new = drift.value_counts(batch.withColumn(drift.SIDE, F.lit(True)), columns)
             table = drift.ks_from_counts(drift.merge_counts(known, new), columns)
@@ -229,4 +236,4 @@ def drift_stream(
         finally:
             batch.unpersist()
 
-    return write_batches(current, folder, write)
+    return write_batches(drop_copies(current) if once else current, folder, write)
