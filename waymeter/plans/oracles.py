@@ -641,6 +641,23 @@ UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 6) FROM sol""",
         ridge, REQUESTS, CHECKED, REQFEATS,
     )
 
+    errors = (
+        f"SELECT sqrt(avg((1.5 * y - p) * (1.5 * y - p))) AS old, sqrt(avg((1.5 * y - 1.5 * p) * (1.5 * y - 1.5 * p))) AS new"
+        f" FROM (SELECT actual_eta_minutes AS y, {fitted} AS p FROM feats CROSS JOIN sol WHERE is_test)"
+    )
+    out["closed_loop"] = on_feats(
+        "SELECT 1 AS step, 'promoted' AS action, 2 AS champion, 2 AS candidate, round(old, 4) AS champion_rmse,"
+        f" round(new, 4) AS candidate_rmse FROM ({errors})"
+        f" UNION ALL SELECT 2, 'kept', 2, NULL, round(new, 4), NULL FROM ({errors})",
+        ridge,
+    )
+    out["stream_followed"] = on_feats(
+        "SELECT request_id, 1 + part // 2 AS model_version, round(greatest(CASE WHEN part < 2 THEN p ELSE 1.5 * p END, 0.5), 2) AS predicted_eta_minutes"
+        " FROM (SELECT *, CAST(CAST('0x' || substr(md5(request_id), 1, 4) AS INTEGER) % 4 AS INTEGER) AS part,"
+        f" {fitted} AS p FROM reqfeats CROSS JOIN sol)",
+        ridge, REQUESTS, CHECKED, REQFEATS,
+    )
+
     counts = "SELECT count(*) FILTER (is_test) AS test, count(*) FILTER (NOT is_test) AS train FROM feats"
     out["model_metrics_checks"] = on_feats(
         "SELECT CAST(ord AS INTEGER) AS ord, model, split, CASE split WHEN 'test' THEN test ELSE train END AS n, true AS in_order"

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.operators import clean, drift, encoding, features, metrics, models, newton, policy, score, validate
+from waymeter.operators import clean, drift, encoding, features, metrics, models, newton, policy, registry, score, validate
 from waymeter.params import CATEGORICAL, NUMERIC, TARGET, Floors, ModelSettings, TripRules
 from waymeter.schemas import DRIFT_REPORT, MODEL_METADATA
 from waymeter.session import materialize, scratch_path
@@ -771,6 +771,49 @@ def model_info(spark, sf_dir):
     return models.model_info(best_model_record(spark, sf_dir), len(encoder.columns))
 
 
+def scaled_ridge(rows: DataFrame, factor: float):
+    """A ridge on distance and traffic for durations that are ``factor`` times as long."""
+    plain = features.FeatureModel(kept={}, categories={}, numeric=("trip_distance_km", "traffic_level"))
+    longer = plain.transform(rows.where("NOT is_test").withColumn(TARGET, F.col(TARGET) * factor), keep=[TARGET])
+    return plain, models.fit_ridge(plain.assemble(longer))
+
+
+@query
+def closed_loop(spark, sf_dir):
+    """Trips take half as long again: the measured error triggers a fit, and the better model becomes champion. Then nothing is left to do."""
+    rows = stored_features(spark, sf_dir)
+    now = rows.where("is_test").withColumn(TARGET, F.col(TARGET) * 1.5)
+    store = registry.ModelStore(spark, scratch_path(spark, "store"))
+    store.promote(store.publish(*scaled_ridge(rows, 1.0)))
+    done = []
+    baseline = spark.createDataFrame([(registry.rmse(*store.load(1), rows.where("is_test")),)], "rmse double")
+    for _ in range(2):
+        measured = spark.createDataFrame([(registry.rmse(*store.load(store.champion()), now),)], "rmse double")
+        decision = policy.retrain_decision(baseline, measured)
+        done.append(materialize(registry.act_on(decision, store, lambda: scaled_ridge(rows, 1.5), now), "outcome"))
+        baseline = measured
+    table = done[0].withColumn("step", F.lit(1)).unionByName(done[1].withColumn("step", F.lit(2)))
+    return rounded(table.drop("reason"), "champion_rmse", "candidate_rmse", digits=4)
+
+
+@query
+def stream_followed(spark, sf_dir):
+    """Requests in four files, a micro-batch each; a second model is promoted after two of them."""
+    rows = stored_features(spark, sf_dir)
+    store = registry.ModelStore(spark, scratch_path(spark, "store"))
+    asked = fixtures.requests(spark, sf_dir)
+    incoming, folder = scratch_path(spark, "incoming"), scratch_path(spark, "followed")
+    part = F.conv(F.substring(F.md5("request_id"), 1, 4), 16, 10).cast("int") % 4
+    asked = materialize(asked.withColumn("part", part), "requests")
+    for half, factor in enumerate((1.0, 1.5)):
+        store.promote(store.publish(*scaled_ridge(rows, factor)))
+        for k in (2 * half, 2 * half + 1):
+            asked.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(incoming)
+        stream = jobs.file_stream(spark, incoming, asked.drop("part").schema, files_per_batch=1)
+        jobs.finish(jobs.score_stream_following(stream, folder, store, "request_id"))
+    return spark.read.parquet(f"{folder}/data").select("request_id", "model_version", "predicted_eta_minutes")
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 

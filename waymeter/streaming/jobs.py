@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from waymeter.functions.columns import quoted
 from waymeter.operators import clean as cleaning
 from waymeter.operators import drift, metrics, policy, score, validate
+from waymeter.operators.registry import ModelStore
 from waymeter.params import DriftRules, TripRules
 from waymeter.session import materialize
 
@@ -133,6 +135,43 @@ def score_stream(requests: DataFrame, folder: str, predict: score.Predictor, *ex
     return append_to(score.log_rows(score.score_requests(valid, predict), *extra), folder)
 
 
+def score_stream_following(requests: DataFrame, folder: str, store: ModelStore, *extra: str) -> StreamingQuery:
+    """Score each micro-batch with the model that is the champion when it starts, and log the version beside the prediction.
+
+    The version is written before the batch is scored, so a batch that runs again after a failure takes the same model,
+    whatever was promoted meanwhile.
+    """
+    chosen: dict[int, score.Predictor] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        pinned = f"{folder}/versions/batch_id={batch_id}"
+        row = session.read.schema("version int").json(pinned).first() if _exists(session, pinned) else None
+        version = row["version"] if row else store.champion()
+        if version is None:
+            raise RuntimeError("no model has been promoted")
+        if not row:
+            session.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").json(pinned)
+        if version not in chosen:
+            chosen.clear()
+            chosen[version] = score.model_predictor(*store.load(version))
+        valid, _ = validate.split_requests(batch)
+        rows = score.log_rows(score.score_requests(valid, chosen[version]), *extra).withColumn("model_version", F.lit(version))
+        rows.write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
+
+    return write_batches(requests, folder, write)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018  looks the path up
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def quarantine_stream(requests: DataFrame, folder: str) -> StreamingQuery:
     """Append the rejected requests with their reasons."""
     _, rejected = validate.split_requests(requests)
