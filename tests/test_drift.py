@@ -244,3 +244,93 @@ def test_report_is_stored_and_read(spark, tmp_path):
     assert (r["reference_rows"], r["current_rows"], r["reference_dataset"]) == (50, 50, "train")
     assert r["drift_summary"]["drifted_features"] == ["b"] and r["drift_summary"]["drift_share"] == 0.5
     assert math.isclose(made.first()["feature_metrics"]["b"]["ks_statistic"], 1.0)
+
+
+def enumerated_tail(ks, n, m):
+    """All merges of both samples."""
+    from itertools import combinations
+
+    limit, far = round(ks * n * m), 0
+    merges = list(combinations(range(n + m), n))
+    for first in merges:
+        i = j = worst = 0
+        for t in range(n + m):
+            i, j = (i + 1, j) if t in first else (i, j + 1)
+            worst = max(worst, abs(i * m - j * n))
+        far += worst >= limit
+    return far / len(merges)
+
+
+@pytest.mark.parametrize(("n", "m"), [(1, 1), (3, 5), (6, 4), (5, 5)])
+def test_tails_equal_the_enumeration(n, m):
+    for steps in range(n * m + 1):
+        want = enumerated_tail(steps / (n * m), n, m)
+        assert drift.exact_tail(steps / (n * m), n, m) == pytest.approx(want, abs=1e-12)
+        assert drift.banded_tail(steps / (n * m), n, m) == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize(("n", "m"), [(40, 70), (300, 200), (1000, 7)])
+def test_band_equals_the_whole_lattice(n, m):
+    for ks in (0.01, 0.05, 0.1, 0.2, 0.4, 0.9, 1.0):
+        assert drift.banded_tail(ks, n, m) == pytest.approx(drift.exact_tail(ks, n, m), abs=1e-10)
+
+
+def test_law_of_one_finite_sample():
+    import numpy as np
+
+    # A published value of the distribution: P(D_10 < 0.274).
+    assert 1 - drift.finite_tail(0.274, 10, 10**9) == pytest.approx(0.6284796154565, abs=1e-9)
+    # Against drawn samples, and against the limit law.
+    rng = np.random.default_rng(1)
+    x = np.sort(rng.random((200_000, 8)), axis=1)
+    d = np.maximum((np.arange(1, 9) / 8 - x).max(1), (x - np.arange(8) / 8).max(1))
+    for ks in (0.15, 0.25, 0.4, 0.6):
+        assert drift.finite_tail(ks, 8, 10**9) == pytest.approx((d >= ks).mean(), abs=0.004)
+    lam = np.sqrt(20_000) * 0.009
+    series = 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 100))
+    assert drift.finite_tail(0.009, 40_000, 40_000) == pytest.approx(series, abs=0.01)
+    assert [drift.finite_tail(k, 50, 50) for k in (0.0, 1.0)] == [1.0, 0.0] and drift.finite_tail(0.9, 5000, 5000) < 1e-15
+
+
+def test_methods_by_name(spark):
+    table = spark.createDataFrame([("a", 0.3, 60, 50), ("b", 0.1, 60, 50)], "feature string, ks double, ref_n long, cur_n long")
+    p = {m: {r.feature: r.p for r in drift.with_p_value(table, m).collect()} for m in ("series", "exact", "finite")}
+    assert p["exact"]["a"] == pytest.approx(drift.exact_tail(0.3, 60, 50), abs=1e-12)
+    assert all(abs(p[m][f] - p["exact"][f]) < 0.05 for m in p for f in "ab")
+    with pytest.raises(ValueError, match="no such p-value"):
+        drift.with_p_value(table, "other")
+
+
+def test_each_kind_of_column_has_its_test(spark):
+    from math import erfc, log2, sqrt
+
+    import numpy as np
+
+    from waymeter.params import KindRules
+
+    rng = np.random.default_rng(3)
+    rows = [(bool(s), float(rng.normal(s)), int(rng.random() < 0.3 + 0.3 * s), str(rng.integers(0, 4)), None if k % 9 == 0 else float(k % 3)) for s in (0, 1) for k in range(80)]
+    df = spark.createDataFrame(rows, "is_current boolean, x double, flag int, word string, level double").withColumn("none", F.lit(None).cast("double"))
+    few = {r.feature: r for r in drift.drift_by_kind(df).collect()}
+    many = {r.feature: r for r in drift.drift_by_kind(df, rules=KindRules(small=10)).collect()}
+    assert set(few) == {"x", "flag", "word", "level"}
+    assert {f: (r.kind, r.test) for f, r in few.items()} == {
+        "x": ("numbers", "kolmogorov_smirnov"), "flag": ("two-valued", "z"), "word": ("categories", "chi_square"), "level": ("categories", "chi_square")
+    }
+    assert {f: r.test for f, r in many.items()} == {"x": "wasserstein", "flag": "jensen_shannon", "word": "jensen_shannon", "level": "jensen_shannon"}
+    side = lambda k, s: [r[k] for r in rows if r[0] == bool(s) and r[k] is not None]
+    # A z-test by hand.
+    a, b = sum(side(2, 0)), sum(side(2, 1))
+    z = (b - a) / 80 / sqrt((a + b) / 160 * (1 - (a + b) / 160) * 2 / 80)
+    assert few["flag"].z == pytest.approx(z) and few["flag"].value == pytest.approx(erfc(abs(z) / sqrt(2))) and few["flag"].drift_detected
+    # Distances by hand.
+    for name, k in (("word", 3), ("level", 4), ("flag", 2)):
+        p, q = ({v: side(k, s).count(v) / len(side(k, s)) for v in {*side(k, 0), *side(k, 1)}} for s in (0, 1))
+        js = sum(x * log2(2 * x / (x + y)) for x, y in [*((p[v], q[v]) for v in p), *((q[v], p[v]) for v in p)] if x) / 2
+        assert many[name].value == pytest.approx(sqrt(js)) == few[name].jensen_shannon
+    x, y = np.sort(side(1, 0)), np.sort(side(1, 1))
+    assert many["x"].value == pytest.approx(np.abs(x - y).mean() / x.std()) and many["x"].drift_detected
+    edges = np.linspace(min(x[0], y[0]), max(x[-1], y[-1]), 31)
+    p, q = (np.histogram(v, edges)[0] / 80 for v in (x, y))
+    js = sum(a * log2(2 * a / (a + b)) for a, b in [*zip(p, q, strict=True), *zip(q, p, strict=True)] if a) / 2
+    assert many["x"].jensen_shannon == pytest.approx(sqrt(js))

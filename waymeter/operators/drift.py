@@ -7,7 +7,7 @@ table. It has one row per distinct value, so a value that a third of all rows sh
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.functions.columns import quoted
-from waymeter.params import TARGET, DriftRules
+from waymeter.params import TARGET, DriftRules, KindRules
 from waymeter.session import materialize
 
 SIDE = "is_current"
@@ -210,23 +210,99 @@ def exact_tail(ks: float, n: int, m: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - inside[n])))
 
 
-@F.pandas_udf(T.DoubleType())
-def _exact_p_value(ks: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    return pd.Series([exact_tail(k, int(a), int(b)) for k, a, b in zip(ks, n, m)])
+def banded_tail(ks: float, n: int, m: int) -> float:
+    """:func:`exact_tail` with only the points inside the band kept: (n + m) steps of about 2 ks n m / (n + m) points."""
+    limit = round(ks * n * m)
+    if limit <= 0:
+        return 1.0
+    start, inside = 0, np.ones(1)  # the paths' share at i = start, start + 1, ... of a diagonal
+    for total in range(1, n + m + 1):
+        # |i m - (total - i) n| < limit, within the rectangle.
+        low = max(0, total - m, (total * n - limit) // (n + m) + 1)
+        high = min(n, total, -((-total * n - limit) // (n + m)) - 1)
+        if low > high:
+            return 1.0
+        i = np.arange(low, high + 1)
+        padded = np.concatenate([np.zeros(1), inside, np.zeros(1)])
+        at = np.clip(i - start + 1, 0, len(padded) - 1)
+        before = np.clip(i - start, 0, len(padded) - 1)
+        inside = (padded[before] * i + padded[at] * (total - i)) / total
+        start = low
+    return float(min(1.0, max(0.0, 1.0 - inside[n - start])))
+
+
+def finite_tail(ks: float, n: int, m: int) -> float:
+    """P(D >= ks) of one sample of round(n m / (n + m)) values, by a matrix power of the size of the band.
+
+    With t = size * ks = k - h, an entry (i, j) on or below the upper diagonal is 1 / (i - j + 1)!, less the powers of h in the first column
+    and the last row; size! / size^size times the middle entry of the power is the chance to stay below ks.
+    """
+    from math import ceil, exp, factorial, lgamma, log, sqrt
+
+    size = max(1, round(n * m / (n + m)))
+    if ks <= 0:
+        return 1.0
+    if ks >= 1:
+        return 0.0
+    scaled = size * ks * ks
+    if scaled > 18:  # below 1e-15
+        return 2 * exp(-(2.000071 + 0.331 / sqrt(size) + 1.409 / size) * scaled)
+    k = ceil(size * ks)
+    h = k - size * ks
+    order = 2 * k - 1
+    steps = np.arange(1, order + 1)
+    inverse = np.exp(-np.array([lgamma(q + 1) for q in range(order + 1)]))
+    gap = np.subtract.outer(np.arange(order), np.arange(order)) + 1
+    base = np.where(gap >= 0, inverse[np.clip(gap, 0, order)], 0.0)
+    powers = h**steps * inverse[1:]
+    base[:, 0] -= powers
+    base[-1, :] -= powers[::-1]
+    base[-1, 0] += max(0.0, 2 * h - 1) ** order / (factorial(order) if order < 170 else float("inf"))
+    # Powers are kept near 1; ``shift`` is the logarithm that they lack.
+    result, shift, square, square_shift, left = np.eye(order), 0.0, base, 0.0, size
+    while left:
+        if left & 1:
+            result, shift = result @ square, shift + square_shift
+            top = result[k - 1, k - 1]
+            if top > 0:
+                result, shift = result / top, shift + log(top)
+        left >>= 1
+        if left:
+            square, square_shift = square @ square, 2 * square_shift
+            top = square[k - 1, k - 1]
+            if top > 0:
+                square, square_shift = square / top, square_shift + log(top)
+    inside = result[k - 1, k - 1] * exp(shift + lgamma(size + 1) - size * log(size))
+    return float(min(1.0, max(0.0, 1.0 - inside)))
+
+
+#: p-values that a task computes for a row: the law of two finite samples, and that of one of the matching size.
+TAILS = {"exact": banded_tail, "finite": finite_tail}
+
+
+def _tail(method: str) -> Callable[[Column, Column, Column], Column]:
+    law = TAILS[method]
+
+    @F.pandas_udf(T.DoubleType())
+    def p_value(ks: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([law(k, int(a), int(b)) for k, a, b in zip(ks, n, m)])
+
+    return p_value
 
 
 def with_p_value(table: DataFrame, method: str = "series", rules: DriftRules = DriftRules()) -> DataFrame:
-    """Add ``p``: by the series, whatever the sample sizes, or on request ``"exact"``.
+    """Add ``p``: by the series, whatever the sample sizes, or on request ``"exact"`` or ``"finite"``.
 
-    The exact form takes time with the product of the sample sizes; features are spread over tasks for it.
+    These two take time with the rows times the width of a band, or with the band's cube; features are spread over
+    tasks for it.
     """
     if method == "series":
         return table.withColumn("p", series_p_value(F.col("ks"), F.col("ref_n"), F.col("cur_n")))
-    if method != "exact":
+    if method not in TAILS:
         raise ValueError(f"no such p-value: {method}")
     spread = materialize(table, "drift-features")
     spread = spread.repartition(max(1, spread.count()), "feature")  # one row per feature
-    return spread.withColumn("p", _exact_p_value("ks", "ref_n", "cur_n"))
+    return spread.withColumn("p", _tail(method)("ks", "ref_n", "cur_n"))
 
 
 # --- feature records and roll-up -------------------------------------------------------------
@@ -358,6 +434,75 @@ def chi_square(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stat.withColumn("p_value", _chi_square_tail("statistic", "degrees"))
 
 
+# --- a test for each kind of column ----------------------------------------------------------
+
+
+def _divergence(r: Column, c: Column, rn: Column, cn: Column) -> Column:
+    """Jensen–Shannon distance (base 2, 0 to 1) of two tables of counts, as an aggregate."""
+    p, q = r / rn, c / cn
+    part = lambda x: F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
+    return F.sqrt(F.greatest(F.sum(part(p) + part(q)) / 2, F.lit(0.0)))
+
+
+def drift_by_kind(tagged: DataFrame, columns: Sequence[str] | None = None, rules: KindRules = KindRules()) -> DataFrame:
+    """(feature, kind, test, value, drift_detected, jensen_shannon, wasserstein, z) of each column.
+
+    A column of two values is ``two-valued``; text, and numbers of few values, are ``categories``; others are ``numbers``. With few
+    reference rows the test is a two-proportion z-test, Pearson's or the Kolmogorov–Smirnov test, and ``value`` its p-value;
+    with more it is the Jensen–Shannon distance, for numbers the Wasserstein distance over the reference's deviation. All
+    come from one table of value counts; numbers are put into shared bins of equal width for their Jensen–Shannon
+    distance. Missing values are out; a column without values on one side is left out.
+    """
+    names = [c for c in (columns or tagged.columns) if c != SIDE]
+    numbers = [c for c in names if c in set(numeric_columns(tagged))]
+    texts = [c for c in names if c not in numbers]
+    counts = tagged.sparkSession.createDataFrame([], "feature string, value double, category string, n_ref long, n_cur long")
+    if numbers:
+        named = F.get(F.array(*[F.lit(c) for c in numbers]), F.col("feature"))
+        counts = counts.unionByName(value_counts(tagged, numbers).withColumns({"feature": named, "category": F.lit(None).cast("string")}))
+    if texts:
+        counts = counts.unionByName(category_counts(tagged, texts).withColumn("value", F.lit(None).cast("double")))
+    counts = materialize(counts, "kind-counts")
+    n = F.sum("n_ref")
+    mean = F.sum(F.col("value") * F.col("n_ref")) / n
+    spread = F.sqrt(F.greatest(F.sum(F.col("value") * F.col("value") * F.col("n_ref")) / n - mean * mean, F.lit(0.0)))
+    last = F.struct("value", "category")
+    totals = counts.groupBy("feature").agg(
+        n.alias("rn"), F.sum("n_cur").alias("cn"), F.count("*").alias("distinct"), F.max(F.col("category").isNotNull()).alias("text"),
+        F.min("value").alias("low"), F.max("value").alias("high"), spread.alias("spread"), F.max_by(F.struct("n_ref", "n_cur"), last).alias("top"),
+    ).where("rn > 0 AND cn > 0")
+    kind = F.when(F.col("distinct") == 2, "two-valued").when(F.col("text") | (F.col("distinct") <= rules.few_values), "categories").otherwise("numbers")
+    totals = materialize(totals.withColumn("kind", kind), "kind-totals")
+    # From here on joins are with a row per column.
+    one = counts.join(F.broadcast(totals), "feature")
+    width = (F.col("high") - F.col("low")) / rules.bins
+    cell = F.when(F.col("kind") == "numbers", F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(rules.bins - 1)).cast("string")).otherwise(F.coalesce("category", F.col("value").cast("string")))
+    cells = one.groupBy("feature", "rn", "cn", cell.alias("cell")).agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
+    js = cells.groupBy("feature").agg(_divergence(F.col("r"), F.col("c"), F.col("rn"), F.col("cn")).alias("jensen_shannon"))
+    both = (F.col("n_ref") + F.col("n_cur")) / (F.col("rn") + F.col("cn"))
+    expected = lambda side: both * F.col(side)
+    gap = F.col("n_ref") - expected("rn")
+    pearson = one.groupBy("feature").agg(F.sum(gap * gap * (1 / expected("rn") + 1 / expected("cn"))).alias("statistic"))
+    ks = ks_from_counts(counts.where("category IS NULL").withColumn("feature", F.array_position(F.array(*[F.lit(c) for c in numbers]), F.col("feature")).cast("int") - 1).select("feature", "value", "n_ref", "n_cur"), numbers) if numbers else None
+    found = totals.join(js, "feature").join(pearson, "feature")
+    found = found.join(ks.select("feature", "ks", "wasserstein", "ref_n", "cur_n"), "feature", "left") if numbers else found.withColumns({c: F.lit(None).cast("double") for c in ("ks", "wasserstein", "ref_n", "cur_n")})
+    p, q = F.col("top.n_ref") / F.col("rn"), F.col("top.n_cur") / F.col("cn")
+    pooled = (F.col("top.n_ref") + F.col("top.n_cur")) / (F.col("rn") + F.col("cn"))
+    found = found.withColumns({
+        "z": F.when(F.col("kind") == "two-valued", (q - p) / F.sqrt(pooled * (1 - pooled) * (1 / F.col("rn") + 1 / F.col("cn")))),
+        "wasserstein": F.when((F.col("kind") == "numbers") & (F.col("spread") > 0), F.col("wasserstein") / F.col("spread")),
+        "small": F.col("rn") <= rules.small,
+    })
+    by_kind = lambda numbers, categories, two: F.when(F.col("kind") == "numbers", numbers).when(F.col("kind") == "categories", categories).otherwise(two)
+    test = F.when(F.col("small"), by_kind(F.lit("kolmogorov_smirnov"), F.lit("chi_square"), F.lit("z"))).otherwise(by_kind(F.lit("wasserstein"), F.lit("jensen_shannon"), F.lit("jensen_shannon")))
+    tail = _chi_square_tail(by_kind(F.lit(0.0), F.col("statistic"), F.col("z") * F.col("z")), F.when(F.col("kind") == "categories", F.col("distinct") - 1).otherwise(1))
+    tested = by_kind(series_p_value(F.col("ks"), F.col("ref_n"), F.col("cur_n")), tail, tail)
+    far = by_kind(F.coalesce("wasserstein", F.lit(0.0)), F.col("jensen_shannon"), F.col("jensen_shannon"))
+    found = found.withColumns({"test": test, "value": F.when(F.col("small"), tested).otherwise(far)})
+    drifted = F.when(F.col("small"), F.col("value") < rules.p_value).otherwise(F.col("value") >= rules.distance)
+    return found.select("feature", "kind", "test", "value", drifted.alias("drift_detected"), "jensen_shannon", "wasserstein", "z")
+
+
 @F.pandas_udf(T.DoubleType())
 def _chi_square_tail(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail(s, int(d)) for s, d in zip(statistic, degrees)])

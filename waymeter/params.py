@@ -88,6 +88,20 @@ class DriftRules:
     min_samples: int = 5
 
 
+@dataclass(frozen=True)
+class KindRules:
+    """Which drift test a column takes, and its limit.
+
+    Up to ``small`` reference rows a test's p-value decides, beyond a distance does: with many rows every p-value is low.
+    """
+
+    small: int = 1000
+    few_values: int = 5
+    p_value: float = 0.05
+    distance: float = 0.1
+    bins: int = 30
+
+
 @dataclass(frozen=True)
 class ModelSettings:
     """Regressor settings."""

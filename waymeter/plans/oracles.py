@@ -567,11 +567,15 @@ FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_m
     out["drift_summary"] = on_feats(summary, sides("split"), ks())
     out["stream_drift"] = out["drift_summary"]
     out["chi_square_drift"] = on_feats(
-        """SELECT feature, round(sum(power(r - er, 2) / er + power(c - ec, 2) / ec), 6) AS statistic,
+        """SELECT feature, round(statistic, 6) AS statistic, degrees, round(least(CASE WHEN degrees % 2 = 1 THEN
+    1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 90), lambda n: CASE WHEN n % 2 = 1 THEN -1 ELSE 1 END
+      * exp((2 * n + 1) * ln(sqrt(h)) - lgamma(n + 1)) / (2 * n + 1))) ELSE 0 END
+    + coalesce(list_sum(list_transform(range(0, degrees // 2), lambda k: exp((k + degrees % 2 * 0.5) * ln(h) - h - lgamma(k + degrees % 2 * 0.5 + 1)))), 0), 1), 5) AS p_value
+FROM (SELECT *, statistic / 2 AS h FROM (SELECT feature, sum(power(r - er, 2) / er + power(c - ec, 2) / ec) AS statistic,
   count(*) - 1 AS degrees FROM (
   SELECT feature, r, c, (r + c) * CAST(rn AS DOUBLE) / (rn + cn) AS er, (r + c) * CAST(cn AS DOUBLE) / (rn + cn) AS ec
   FROM cats JOIN (SELECT feature, sum(r) AS rn, sum(c) AS cn FROM cats GROUP BY feature) USING (feature))
-GROUP BY feature""",
+GROUP BY feature))""",
         "cats AS ("
         + " UNION ALL ".join(
             f"SELECT {text(c)} AS feature, {c} AS v, count(*) FILTER (NOT is_test) AS r,"
@@ -580,6 +584,37 @@ GROUP BY feature""",
         )
         + ")",
     )
+    moved = "CASE WHEN is_test THEN actual_eta_minutes * CAST(1.5 AS DOUBLE) ELSE actual_eta_minutes END"
+    longs = [
+        f"SELECT {text(c)} AS feature, CAST({moved if c == 'actual_eta_minutes' else c} AS DOUBLE) AS v, NULL AS label, is_test AS cur FROM feats"
+        for c in ("pickup_hour", "trip_distance_km", "passenger_count", "is_weekend", "actual_eta_minutes")
+    ] + [
+        f"SELECT {text(c)}, NULL, {c}, is_test FROM feats" for c in ("pickup_location", "drop_location", "weekday", "season", "traffic_level")
+    ]
+    out["drift_by_kind"] = on_feats(
+        """SELECT feature, kind, CASE WHEN kind = 'numbers' THEN 'wasserstein' ELSE 'jensen_shannon' END AS test,
+  round(CASE WHEN kind = 'numbers' THEN w ELSE js END, 6) AS value, CASE WHEN kind = 'numbers' THEN w ELSE js END >= 0.1 AS drift_detected,
+  round(js, 6) AS jensen_shannon, round(w, 6) AS wasserstein,
+  round(CASE WHEN kind = 'two-valued' THEN (q - p) / sqrt(pp * (1 - pp) * (1 / rn + 1 / cn)) END, 6) AS z
+FROM kinds JOIN (
+    SELECT feature, sqrt(greatest(sum(CASE WHEN r > 0 THEN r / rn * log2(2 * (r / rn) / (r / rn + c / cn)) ELSE 0 END
+      + CASE WHEN c > 0 THEN c / cn * log2(2 * (c / cn) / (r / rn + c / cn)) ELSE 0 END) / 2, 0)) AS js
+    FROM (SELECT feature, rn, cn, CAST(sum(r) AS DOUBLE) AS r, CAST(sum(c) AS DOUBLE) AS c FROM (
+      SELECT *, CASE WHEN kind = 'numbers' THEN CAST(least(floor((v - low) / ((high - low) / 30)), 29) AS VARCHAR)
+        ELSE coalesce(label, CAST(v AS VARCHAR)) END AS cell FROM vals JOIN kinds USING (feature)) GROUP BY feature, rn, cn, cell)
+    GROUP BY feature) USING (feature)
+  LEFT JOIN (SELECT feature, sum(gap * step) / any_value(sd) AS w FROM (
+    SELECT feature, sd, abs(sum(r) OVER o / rn - sum(c) OVER o / cn) AS gap, lead(v) OVER o - v AS step
+    FROM vals JOIN kinds USING (feature) WHERE kind = 'numbers' WINDOW o AS (PARTITION BY feature ORDER BY v)) GROUP BY feature) USING (feature)""",
+        "long AS (" + " UNION ALL ".join(longs) + "),"
+        """vals AS (SELECT feature, v, label, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM long GROUP BY ALL),
+kinds AS (SELECT *, CASE WHEN n = 2 THEN 'two-valued' WHEN is_text OR n <= 5 THEN 'categories' ELSE 'numbers' END AS kind,
+    tr / rn AS p, tc / cn AS q, (tr + tc) / (rn + cn) AS pp FROM (
+  SELECT feature, CAST(sum(r) AS DOUBLE) AS rn, CAST(sum(c) AS DOUBLE) AS cn, count(*) AS n, bool_or(label IS NOT NULL) AS is_text,
+    min(v) AS low, max(v) AS high, sqrt(greatest(sum(v * v * r) / sum(r) - power(sum(v * r) / sum(r), 2), 0)) AS sd,
+    CAST(arg_max(r, coalesce(v, 0)) AS DOUBLE) AS tr, CAST(arg_max(c, coalesce(v, 0)) AS DOUBLE) AS tc
+  FROM vals GROUP BY feature))""",
+    )
     out["what_if"] = on_feats(
         f"SELECT {names(NUMERIC)}, round(actual_eta_minutes, 6) AS actual_eta_minutes FROM changed", sides("copy")
     )
@@ -703,7 +738,7 @@ cells AS (SELECT e.feature AS feature, e.value AS value, g FROM vals)""",
     # Sources and sinks
     out["append_round_trip"] = on_trips("SELECT * FROM trips")
     out["csv_round_trip"] = on_trips("SELECT * FROM trips")
-    out["staged_batches"] = on_trips("SELECT trip_id, traffic_level, traffic_level AS batch FROM trips")
+    out["staged_batches"] = on_trips("SELECT *, traffic_level AS batch FROM trips")
     out["ragged_log"] = on_log(
         "SELECT status = 'error' AS is_legacy, count(*) AS n, round(sum(CASE WHEN status <> 'error'"
         " THEN floor(predicted_eta_minutes * 100) / CAST(100 AS DOUBLE) END), 4) AS total_minutes FROM log GROUP BY ALL"
