@@ -59,3 +59,13 @@ def test_empty_tables(spark):
     assert resolved(spark, []) == {}
     assert resolved(spark, [(1, "http://h/", 1, "response", 200, {})]) == {}
     assert resolved(spark, [(2, "http://h/", 1, "revisit", 304, {})])[2].outcome == "no_original"
+
+
+def test_derived_records_need_the_latest_of_several(spark, given):
+    records = R.records_of(given("pages").select("page_id", "url", "html"))
+    pages = given("pages").count()
+    assert records.count() == 6 * pages and records.where(F.col("url") == R.FRONT).count() == 2 * pages
+    found = R.resolve(records)
+    assert found.count() == 3 * pages
+    kinds = {r.outcome: r["count"] for r in found.groupBy("outcome").count().collect()}
+    assert set(kinds) == {R.RESOLVED, R.CHANGED, R.UNCHECKED, R.MISSING}

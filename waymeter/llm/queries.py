@@ -93,19 +93,22 @@ WITH page AS (
   SELECT page_id, n, digest, CASE WHEN host <> '' THEN host || CASE WHEN port IN (':', ':80', ':443') THEN '' ELSE port END
     || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS key
   FROM page
-), asked AS (SELECT *, page_id + 1 + n % 50 AS ts FROM keyed),
-stored AS (SELECT key, page_id AS ts, page_id * 2 AS id, digest, n FROM keyed WHERE n % 11 <> 0),
+) , made AS (
+  SELECT page_id * 6 + k AS id, CASE WHEN k % 3 = 2 THEN 'front.example/' ELSE key END AS key, n, k >= 3 AS asks,
+    page_id + 40 * (k % 3) + CASE WHEN k >= 3 THEN 1 + n % 50 ELSE 0 END AS ts, digest || '-' || (k % 3) // 2 AS tag, (n + k) % 11 = 0 AS gone
+  FROM keyed, range(6) r(k)
+), asked AS (SELECT * FROM made WHERE asks), stored AS (SELECT * FROM made WHERE NOT asks AND NOT gone),
 matched AS (
-  SELECT a.page_id, a.key, a.ts, a.n, a.digest, max(s.ts) AS stored_ts
+  SELECT a.id, a.key, a.ts, a.n, a.tag, max({'ts': s.ts, 'id': s.id}) FILTER (s.id IS NOT NULL) AS last
   FROM asked a LEFT JOIN stored s ON s.key = a.key AND s.ts < a.ts GROUP BY ALL
 )
-SELECT m.page_id * 2 + 1 AS record_id, m.key AS canonical_url, m.ts AS ts, s.id AS original_id,
+SELECT m.id AS record_id, m.key AS canonical_url, m.ts AS ts, s.id AS original_id,
   CASE WHEN s.id IS NULL THEN 'no_original' WHEN m.n % 5 = 0 THEN 'unchecked'
-    WHEN m.n % 7 = 0 OR m.digest <> s.digest THEN 'changed' ELSE 'resolved' END AS outcome,
-  CASE WHEN s.id IS NOT NULL AND m.n % 5 <> 0 AND m.n % 7 <> 0 AND m.digest = s.digest THEN
+    WHEN m.n % 7 = 0 OR m.tag <> s.tag THEN 'changed' ELSE 'resolved' END AS outcome,
+  CASE WHEN s.id IS NOT NULL AND m.n % 5 <> 0 AND m.n % 7 <> 0 AND m.tag = s.tag THEN
     'cache-control: max-age=60' || chr(10) || 'content-length: ' || s.n || chr(10) || 'content-type: text/html' || chr(10)
-    || 'date: ' || m.ts || chr(10) || 'etag: W/"' || m.digest || '"' || chr(10) || 'server: archive' || chr(10) END AS headers
-FROM matched m LEFT JOIN stored s ON s.key = m.key AND s.ts = m.stored_ts
+    || 'date: ' || m.ts || chr(10) || 'etag: W/"' || m.tag || '"' || chr(10) || 'server: archive' || chr(10) END AS headers
+FROM matched m LEFT JOIN stored s ON s.id = m.last.id
 """
 
 

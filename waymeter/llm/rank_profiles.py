@@ -7,6 +7,7 @@ the distance of its two ranks, or the profile's length where the language lacks
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,11 +31,11 @@ GATHERED = 16
 
 @cache
 def _fold() -> np.ndarray:
-    """Code point → its lower-case letter, or a blank for anything but a letter."""
+    """Code point → its lower-case letter, or a blank for anything but a letter or a mark that belongs to one."""
     out = np.full(0x110000, _BLANK, np.uint32)
     for c in range(0x110000):
         ch = chr(c)
-        if ch.isalpha():
+        if ch.isalpha() or unicodedata.category(ch)[0] == "M":
             out[c] = ord(ch.lower()[0])
     return out
 
@@ -129,7 +130,9 @@ def profiles(docs: DataFrame, ranks: int = RANKS) -> dict[str, tuple[np.ndarray,
     learned = docs.where("text IS NOT NULL AND lang IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
     counts = learned.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    rows = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < ranks).toArrow()
+    # The filter is on the row number itself: so every task drops what is not among its first before the shuffle.
+    top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ranks)
+    rows = top.select("lang", "code", (F.col("place") - 1).alias("rank")).toArrow()
     rows = rows.sort_by([("lang", "ascending"), ("code", "ascending")])
     lang, code, rank = rows.column("lang").to_numpy(), rows.column("code").to_numpy().view(np.uint64), rows.column("rank").to_numpy()
     return {name: (code[lang == name], rank[lang == name].astype(np.int64)) for name in dict.fromkeys(lang.tolist())}

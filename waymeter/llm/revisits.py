@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymeter.session import materialize
+
 SLICES = 64
 #: Header fields that a 304 answer may renew in the stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -111,13 +113,18 @@ def resolve(records: DataFrame) -> DataFrame:
         F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"),
         "kind", "status", _fields(F.col("headers")).alias("fields"),
     )
-    full = rows.where("kind = 'response' AND status = 200 AND record_id IS NOT NULL")
+    # Written once: URLs and headers are read by several joins.
+    rows = materialize(rows.where("kind = 'revisit' OR kind = 'response' AND status = 200 AND record_id IS NOT NULL"), "archive")
+    full = rows.where("kind = 'response'")
     revisits = rows.where("kind = 'revisit'")
     matched = latest_before(revisits.select("key", "ts", "record_id").distinct(), full)
     matched = matched.select(F.col("record_id").alias("_id"), F.col("key").alias("_key"), F.col("ts").alias("_ts"), "original_id")
     same = F.col("record_id").eqNullSafe(F.col("_id")) & F.col("key").eqNullSafe(F.col("_key")) & F.col("ts").eqNullSafe(F.col("_ts"))
     stored = full.select(F.col("record_id").alias("original_id"), F.col("fields").alias("theirs")).dropDuplicates(["original_id"])
-    out = revisits.join(matched, same, "left").drop("_id", "_key", "_ts").join(stored, "original_id", "left")
+    out = materialize(revisits.join(matched, same, "left").drop("_id", "_key", "_ts"), "matched")
+    # Revisits without an original take no part in the join: their null would be its hottest key.
+    none = out.where("original_id IS NULL").withColumn("theirs", F.lit(None).cast(stored.schema["theirs"].dataType))
+    out = out.where("original_id IS NOT NULL").join(stored, "original_id", "left").unionByName(none)
     said = F.when(F.col("original_id").isNull(), MISSING).otherwise(outcome(F.col("fields"), F.col("theirs")))
     return out.select(
         "record_id", F.col("key").alias("canonical_url"), "ts", "original_id", said.alias("outcome"),
@@ -125,30 +132,34 @@ def resolve(records: DataFrame) -> DataFrame:
     )
 
 
+#: URL that every page's records also ask for.
+FRONT = "https://front.example/"
+
+
 def records_of(pages: DataFrame) -> DataFrame:
-    """Archive records for the given pages: a response for each page, and a later conditional request of its URL.
+    """Archive records for the given pages: three responses and three later conditional requests for each.
 
-    The page's length decides its status, its headers and when the request follows, so that all outcomes occur.
+    Two of either are for the page's URL, the last for FRONT, which so has a third of all records. The content's tag changes
+    with every second response. The page's length decides statuses, headers and when requests follow, so that all outcomes
+    occur and the latest of several earlier responses has to be found.
     """
     n = F.coalesce(F.length("html"), F.lit(0))
     digest = F.md5(F.coalesce("html", F.lit("")))
-    said = F.map_concat
-    response = pages.select(
-        (F.col("page_id") * 2).alias("record_id"), "url", F.col("page_id").alias("ts"), F.lit("response").alias("kind"),
-        F.when(n % 11 == 0, 404).otherwise(200).alias("status"),
-        said(
-            F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), n.cast("string"), F.lit("ETag"), F.concat(F.lit('"'), digest, F.lit('"'))),
-            F.create_map(F.lit("Date"), F.col("page_id").cast("string"), F.lit("Server"), F.lit("archive")),
-        ).alias("headers"),
-    )
-    later = F.col("page_id") + 1 + n % 50
-    tag = F.when(n % 5 == 0, F.lit(None)).when(n % 7 == 0, F.lit('"other"')).otherwise(F.concat(F.lit('W/"'), digest, F.lit('"')))
-    request = pages.select(
-        (F.col("page_id") * 2 + 1).alias("record_id"), F.concat("url", F.lit("#again")).alias("url"), later.alias("ts"), F.lit("revisit").alias("kind"),
-        F.lit(304).alias("status"),
-        said(
-            F.create_map(F.lit("ETag"), tag.cast("string"), F.lit("date"), later.cast("string"), F.lit("Content-Length"), F.lit("0")),
-            F.create_map(F.lit("Cache-Control"), F.lit("max-age=60")),
-        ).alias("headers"),
+    every = pages.select("page_id", "url", n.alias("n"), digest.alias("digest"), F.explode(F.array(*[F.lit(k) for k in range(6)])).alias("_k"))
+    k, request = F.col("_k") % 3, F.col("_k") >= 3
+    url = F.when(k == 2, FRONT).when(request, F.concat("url", F.lit("#again"))).otherwise(F.col("url"))
+    ts = F.col("page_id") + 40 * k + F.when(request, 1 + F.col("n") % 50).otherwise(0)
+    mark = F.concat_ws("-", "digest", (k / 2).cast("int").cast("string"))
+    tag = F.when(F.col("n") % 5 == 0, F.lit(None)).when(F.col("n") % 7 == 0, F.lit('"other"')).otherwise(F.concat(F.lit('W/"'), mark, F.lit('"')))
+    length = F.col("n").cast("string")
+    headers = F.when(
+        request,
+        F.create_map(F.lit("ETag"), tag, F.lit("date"), ts.cast("string"), F.lit("Content-Length"), F.lit("0"), F.lit("Cache-Control"), F.lit("max-age=60")),
+    ).otherwise(
+        F.create_map(
+            F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), length, F.lit("ETag"), F.concat(F.lit('"'), mark, F.lit('"')),
+            F.lit("Date"), ts.cast("string"), F.lit("Server"), F.lit("archive"),
+        )
     )
-    return response.unionByName(request)
+    status = F.when(request, 304).when((F.col("n") + k) % 11 == 0, 404).otherwise(200)
+    return every.select((F.col("page_id") * 6 + F.col("_k")).alias("record_id"), url.alias("url"), ts.alias("ts"), F.when(request, "revisit").otherwise("response").alias("kind"), status.alias("status"), headers.alias("headers"))
