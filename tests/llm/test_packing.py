@@ -76,3 +76,20 @@ def test_cuts_are_the_cheapest():
             if all(b - a <= size for a, b in zip([0, *inner], [*inner, at[-1]], strict=True))
         ]
         assert cost(P.cuts(at, fee, size).tolist()) == pytest.approx(min(map(cost, plans)))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_tokenizers_encode_whole_texts(name):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from waymeter.llm import words as W
+
+    path = public_tokenizers.path(name)
+    assert P._cuts_words(path) == (name == P.TOKENIZER)
+    texts = ["Hello World again", "", "It's one. Two!  Three? 3.14 \u00c9t\u00e9.", "no end"]
+    ids, row, ends = P.Encoder(path).encode(*W.buffers(pa.array(texts)))
+    library = Tokenizer.from_file(path)
+    for k, text in enumerate(texts):
+        assert ids[row == k].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(ends) >= 3 and (ends <= len(ids)).all()

@@ -11,11 +11,13 @@ whose inner term d[j] + p[j] does not depend on i, so the minimum moves along in
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,20 @@ _KINDS[[b for b in range(128) if chr(b).isalpha()]] = 1
 _KINDS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2
 
 
+@cache
+def _cuts_words(path: str) -> bool:
+    """Whether a tokenizer file cuts texts as the default one does, so that the ids of its parts are those of a text."""
+    import public_tokenizers
+
+    def rules(file: str) -> dict:
+        with open(file, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = {k: v for k, v in spec["model"].items() if k not in ("vocab", "merges")}
+        return {k: spec.get(k) for k in ("normalizer", "pre_tokenizer", "truncation", "padding")} | {"model": model}
+
+    return rules(path) == rules(public_tokenizers.path(TOKENIZER))
+
+
 class Encoder:
     """Token ids of many texts. Ids of a text are those of its parts, one after another.
 
@@ -61,6 +77,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_parts = _cuts_words(path)
         self.known: dict[int, bytes] = {}
 
     def ids_of(self, parts: list[str]) -> list[bytes]:
@@ -82,8 +99,20 @@ class Encoder:
             out[k] = array("I", e.ids).tobytes()
         return out
 
+    def _encode_whole(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same by any tokenizer, each text as a whole."""
+        raw = data.tobytes()
+        texts = [str(raw[a:b], "utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        counts = np.array([len(e.ids) for e in found], np.int64)
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in found]])
+        closes = np.array([text[b - 1 : b] in (".", "!", "?") for text, e in zip(texts, found, strict=True) for _, b in e.offsets], bool)
+        return ids, np.repeat(np.arange(len(texts)), counts), np.flatnonzero(closes) + 1
+
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, row of each id, ends: ids after which a sentence ends)."""
+        if not self.by_parts:
+            return self._encode_whole(offsets, data)
         s = W.spans(offsets, data, kinds=_KINDS)
         bars = np.flatnonzero(data == ord("|"))
         if len(bars):  # may be a special token, whose case matters
@@ -208,7 +237,8 @@ class Stream:
 def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, with_ids: bool = True) -> DataFrame:
     """One row per piece of a document: where it lies in the document and in its sequence, and its ids.
 
-    ``tokenizer`` is a tokenizer file that every worker can read. A document's ids are followed by END_ID, so a
+    ``tokenizer`` is a tokenizer file that every worker can read; one that cuts texts in another way than the default encodes each
+    text as a whole. A document's ids are followed by END_ID, so a
     null or empty text is a piece of one id. Documents keep the order of their partition; nothing is shuffled,
     and each partition ends with at most one open sequence. Repeated rows are packed as often as they occur, a
     null id is carried, an empty table gives no rows, other columns are dropped. A task holds ``STRETCH`` ids
