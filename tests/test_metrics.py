@@ -97,3 +97,40 @@ def test_monitored_errors_with_a_hot_key(spark):
 def test_first_trips(spark):
     df = spark.range(100).select(F.format_string("%03d", F.col("id")).alias("trip_id"))
     assert [r[0] for r in metrics.first_trips(df, 3).collect()] == ["000", "001", "002"]
+
+
+def plain_rate(samples, low, high):
+    """Reset-aware increase of sorted (second, value) samples, carried on to the window's ends."""
+    if len(samples) < 2:
+        return None
+    steps = [(b[1] if b[1] < a[1] else b[1] - a[1]) for a, b in zip(samples, samples[1:], strict=False)]
+    (first, v0), (last, _) = samples[0], samples[-1]
+    inc, covered = sum(steps), last - first
+    mean = covered / len(steps)
+    head, tail = (g if g < 1.1 * mean else mean / 2 for g in (first - low, high - last))
+    head = min(head, covered * v0 / inc) if inc else head
+    return inc * (covered + head + tail) / covered
+
+
+def test_counter_rates(spark):
+    import random
+
+    rng = random.Random(2)
+    rows, value = [], {}
+    for second in sorted(rng.sample(range(3600), 300)):
+        name = rng.choice("aab")
+        value[name] = 0 if rng.random() < 0.05 else value.get(name, 0) + rng.randint(0, 4)
+        rows.append((name, second, value[name]))
+    rows += [("c", 10, 1), ("d", 20, 5), ("d", 50, 5), (None, 5, 1), (None, 9, 3)]
+    start = 1_700_000_100  # a multiple of 300
+    df = spark.createDataFrame([(n, start + t, v) for n, t, v in rows + rows[:9]], "name string, t long, value long").withColumn("ts", F.timestamp_seconds("t"))
+    got = {(r.name, r.w): (r.increase, r.per_second) for r in metrics.counter_rates(df, ["name"]).withColumn("w", F.unix_timestamp("window_start") - start).collect()}
+    want = {}
+    for name in ("a", "b", "c", "d", None):
+        for low in range(0, 3600, 300):
+            rate = plain_rate([(t, v) for n, t, v in sorted(rows, key=lambda r: r[1]) if n == name and low <= t < low + 300], low, low + 300)
+            if rate is not None:
+                want[name, low] = rate
+    assert got.keys() == want.keys() and ("c", 0) not in got and want["d", 0] == 0
+    for key, rate in want.items():
+        assert got[key] == pytest.approx((rate, rate / 300))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymeter.params import ETA_BOUNDS, SPEED_KMH, Floors
@@ -196,6 +196,34 @@ def requests_per_minute(log: DataFrame) -> DataFrame:
     )
 
 
+def counter_rates(samples: DataFrame, series: Sequence[str], window: str = "5 minutes", value: str = "value", ts: str = "ts") -> DataFrame:
+    """(``series``, window_start, increase, per_second) of cumulative counters sampled over time.
+
+    A counter that falls was reset: what it shows then counts from 0. The increase between the first and the last sample
+    of a window is carried on to the window's ends, by half a mean interval where a sample is further than a tenth more than
+    that from an end, and not below the counter's 0 at the start. Equal times: the higher value counts. A window with fewer
+    than two samples has no rate.
+    """
+    seconds = F.col("_t")
+    at = samples.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).groupBy(*series, ts).agg(F.max(value).cast("double").alias("_v"))
+    at = at.select(*series, F.window(ts, window).alias("_w"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), "_v").withColumn("_t", F.col("_us") / 1e6)
+    order = Window.partitionBy(*series, "_w").orderBy("_us")
+    before = F.lag("_v").over(order)
+    step = F.when(before.isNull(), 0.0).when(F.col("_v") < before, F.col("_v")).otherwise(F.col("_v") - before)
+    steps = at.withColumn("_step", step)
+    found = steps.groupBy(*series, "_w").agg(
+        F.sum("_step").alias("_inc"), F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.min_by("_v", seconds).alias("_v0")
+    ).where("_n > 1")
+    start, stop = (F.unix_micros(F.col(f"_w.{side}").cast("timestamp")) / 1e6 for side in ("start", "end"))
+    covered = F.col("_last") - F.col("_first")
+    mean = covered / (F.col("_n") - 1)
+    to_end = lambda gap: F.when(gap < 1.1 * mean, gap).otherwise(mean / 2)
+    from_zero = F.when(F.col("_inc") > 0, covered * F.col("_v0") / F.col("_inc")).otherwise(F.lit(float("inf")))
+    head = F.least(to_end(F.col("_first") - start), from_zero)
+    increase = F.col("_inc") * (covered + head + to_end(stop - F.col("_last"))) / covered
+    return found.select(*series, F.col("_w.start").alias("window_start"), increase.alias("increase"), (increase / (stop - start)).alias("per_second"))
+
+
 def sliding_histogram(log: DataFrame, column: str = "predicted_eta_minutes",
                       width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Bucket histogram per sliding window.

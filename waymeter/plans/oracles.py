@@ -503,6 +503,27 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
     )
     out["requests_per_minute"] = on_log(per_minute)
     out["stream_counts"] = out["requests_per_minute"]
+
+    def rates(c: str) -> str:
+        ends = "least(CASE WHEN f - lo < 1.1 * d / (n - 1) THEN f - lo ELSE d / (n - 1) / 2 END, CASE WHEN inc > 0 THEN d * v0 / inc ELSE 'inf'::DOUBLE END)"
+        tail = "CASE WHEN hi - l < 1.1 * d / (n - 1) THEN hi - l ELSE d / (n - 1) / 2 END"
+        return f"""{c}_rates AS (SELECT endpoint, w, inc * (d + {ends} + {tail}) / d AS increase FROM (
+  SELECT endpoint, w, sum(step) AS inc, count(*) AS n, min(t) AS f, max(t) AS l, max(t) - min(t) AS d, arg_min(v, t) AS v0,
+    epoch_us(w) / 1e6 AS lo, epoch_us(w) / 1e6 + 21600 AS hi FROM (
+    SELECT endpoint, w, t, v, CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END AS step FROM (
+      SELECT *, lag(v) OVER (PARTITION BY endpoint, w ORDER BY t) AS p FROM (
+        SELECT endpoint, time_bucket(INTERVAL 6 HOURS, ts) AS w, epoch_us(ts) / 1e6 AS t, max({c}) AS v FROM shown GROUP BY ALL)))
+  GROUP BY endpoint, w HAVING count(*) > 1))"""
+
+    out["counter_rates"] = on_log(
+        "SELECT endpoint, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, round(r.increase, 4) AS requests_increase,"
+        " round(m.increase, 4) AS minutes_increase, round(m.increase / nullif(r.increase, 0), 4) AS mean_minutes"
+        " FROM requests_rates r JOIN minutes_rates m USING (endpoint, w)",
+        """shown AS (SELECT endpoint, ts, CAST(row_number() OVER o AS DOUBLE) AS requests, sum(predicted_eta_minutes) OVER o AS minutes
+  FROM log WHERE predicted_eta_minutes IS NOT NULL
+  WINDOW o AS (PARTITION BY endpoint, CAST(ts - INTERVAL 3 HOURS AS DATE) ORDER BY ts, event_id))""",
+        rates("requests"), rates("minutes"),
+    )
     closed = "FROM log WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM log) - INTERVAL 10 MINUTES"
     out["stream_counts_closed"] = on_log(per_minute.replace("FROM log", closed))
     sliding = (

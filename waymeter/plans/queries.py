@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymeter.operators import clean, drift, encoding, features, metrics, models, newton, policy, registry, score, validate
@@ -437,6 +437,22 @@ def sample_trips(spark, sf_dir):
     return metrics.first_trips(fixtures.trips(spark, sf_dir), 50)
 
 
+@query
+def counter_rates(spark, sf_dir):
+    """Six-hour rates of the request and minute counters, which start anew at three each night, and the mean minutes as their ratio."""
+    log = fixtures.prediction_log(spark, sf_dir).where("predicted_eta_minutes IS NOT NULL")
+    night = F.to_date(F.col("ts") - F.expr("INTERVAL 3 HOURS"))
+    shown = Window.partitionBy("endpoint", night).orderBy("ts", "event_id")
+    samples = log.select("endpoint", "ts", F.row_number().over(shown).cast("double").alias("requests"), F.sum("predicted_eta_minutes").over(shown).alias("minutes"))
+    requests, minutes = (
+        metrics.counter_rates(samples, ["endpoint"], "6 hours", c).select("endpoint", "window_start", F.col("increase").alias(f"{c}_increase"))
+        for c in ("requests", "minutes")
+    )
+    table = requests.join(minutes, ["endpoint", "window_start"]).withColumn("window_start", clock_text("window_start"))
+    ratio = F.col("minutes_increase") / F.nullif(F.col("requests_increase"), F.lit(0.0))
+    return rounded(table.withColumn("mean_minutes", ratio), "requests_increase", "minutes_increase", "mean_minutes", digits=4)
+
+
 # --- drift and policy ------------------------------------------------------------------------
 
 
