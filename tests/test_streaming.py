@@ -207,3 +207,46 @@ def test_cleaning_counts_what_each_batch_drops(spark, lineitem, tmp_path):
     for r in found:
         assert r.kept_rows == kept[r.batch_id] and r.initial_rows == r.kept_rows + r.dropped_rows
     assert sum(r.initial_rows for r in found) == fixtures.trips(spark, SF).count()
+
+
+def test_unmatched_predictions_are_appended_when_none_can_come(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    start = datetime(2026, 1, 1)
+    at = lambda h: start + timedelta(hours=h)
+    predictions = [(1, at(0), 5.0), (2, at(0), 6.0), (3, at(1), 7.0), (4, at(9), 8.0)]
+    actuals = [(1, at(1), 5.5), (2, at(6), 6.5), (9, at(9), 1.0)]  # the second comes too late
+    spark.createDataFrame(predictions, "event_id long, ts timestamp, predicted_eta_minutes double").coalesce(1).write.parquet(f"{tmp_path}/p")
+    spark.createDataFrame(actuals, "event_id long, actual_ts timestamp, actual_eta_minutes double").coalesce(1).write.parquet(f"{tmp_path}/a")
+    source = lambda n, c: jobs.event_time(jobs.file_stream(spark, f"{tmp_path}/{n}", spark.read.parquet(f"{tmp_path}/{n}").schema), c)
+    jobs.finish(jobs.match_stream(source("p", "ts"), source("a", "actual_ts"), f"{tmp_path}/out", unmatched=True))
+    got = sorted((r.event_id, r.actual_eta_minutes) for r in spark.read.parquet(f"{tmp_path}/out/data").collect())
+    assert got == [(1, 5.5), (2, None), (3, None)]  # the last one's time is not over
+    table = metrics.coverage(spark.read.parquet(f"{tmp_path}/out/data")).orderBy("window_start").collect()
+    assert [(r.predictions, r.matched, r.coverage) for r in table] == [(2, 1, 0.5), (1, 0, 0.0)] and table[0].rmse == 0.5 and table[1].rmse is None
+
+
+def test_batches_are_taken_once_and_archived(spark, tmp_path):
+    from datetime import datetime
+
+    from waymeter.sources import writers
+
+    folder, archive = f"{tmp_path}/incoming", f"{tmp_path}/archive"
+
+    def stage(k):
+        writers.stage_batch_at(spark.createDataFrame([(k,)], "id long"), folder, datetime(2026, 1, 1, k))
+
+    def take():
+        jobs.finish(jobs.append_to(jobs.incoming_stream(spark, folder, spark.range(1).schema, archive), f"{tmp_path}/out"))
+        return sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out/data").collect())
+
+    for k in range(3):
+        stage(k)
+    assert take() == [0, 1, 2]
+    stage(3)
+    assert take() == [0, 1, 2, 3] and take() == [0, 1, 2, 3]
+    moved = [p.name for p in (tmp_path / "archive").rglob("part-*.parquet")]
+    left = [p.name for p in (tmp_path / "incoming").rglob("part-*.parquet")]
+    assert len(moved) >= 2 and len(moved) + len(left) == 4 and not set(moved) & set(left)
+    with pytest.raises(Exception, match="exists"):
+        stage(3)

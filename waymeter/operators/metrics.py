@@ -268,26 +268,37 @@ def first_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
     return df.groupBy(key).agg(earliest).select(key, "_row.*")
 
 
-def monitored_errors(predictions: DataFrame, actuals: DataFrame, key: str = "event_id") -> DataFrame:
+def monitored_errors(predictions: DataFrame, actuals: DataFrame, key: str = "event_id", unmatched: bool = False) -> DataFrame:
     """Predictions with the actual duration that arrived within four hours, each trip once.
 
     A retried request is logged more than once; only its first answer counts. That also makes the join
     one-to-one, and the join finds both sides partitioned by its key already.
     """
     return match_actuals(
-        first_per_key(predictions, key, "ts"), first_per_key(actuals, key, "actual_ts"), key
+        first_per_key(predictions, key, "ts"), first_per_key(actuals, key, "actual_ts"), key, unmatched=unmatched
     )
 
 
 def match_actuals(predictions: DataFrame, actuals: DataFrame, key: str = "event_id",
-                  within: str = "INTERVAL 4 HOURS") -> DataFrame:
+                  within: str = "INTERVAL 4 HOURS", unmatched: bool = False) -> DataFrame:
     """Equi-join on the trip key with an event-time bound, for batch and stream alike.
 
-    Both sides grow, so neither is broadcast by hint.
+    Both sides grow, so neither is broadcast by hint. With ``unmatched`` a prediction without an actual duration
+    stays; a stream hands it on once its watermark has passed the bound.
     """
     right = actuals.withColumnRenamed(key, "_key")
     lag = F.col("actual_ts").between(F.col("ts"), F.col("ts") + F.expr(within))
-    return predictions.join(right, (F.col(key) == F.col("_key")) & lag).drop("_key")
+    return predictions.join(right, (F.col(key) == F.col("_key")) & lag, "left" if unmatched else "inner").drop("_key")
+
+
+def coverage(matched: DataFrame, width: str = "1 hour") -> DataFrame:
+    """(window_start, predictions, matched, coverage, rmse) per window of the predictions' time, unmatched ones included."""
+    error = F.col("actual_eta_minutes") - F.col("predicted_eta_minutes")
+    window = F.window(F.col("ts").cast("timestamp"), width)["start"].alias("window_start")
+    counts = matched.groupBy(window).agg(
+        F.count(F.lit(1)).alias("predictions"), F.count("actual_eta_minutes").alias("matched"), F.sqrt(F.avg(error * error)).alias("rmse")
+    )
+    return counts.select("window_start", "predictions", "matched", (F.col("matched") / F.col("predictions")).alias("coverage"), "rmse")
 
 
 def windowed_errors(matched: DataFrame, width: str = "1 hour") -> DataFrame:

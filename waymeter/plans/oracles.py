@@ -517,7 +517,7 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
 
     out["counter_rates"] = on_log(
         "SELECT endpoint, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, round(r.increase, 4) AS requests_increase,"
-        " round(m.increase, 4) AS minutes_increase, round(m.increase / nullif(r.increase, 0), 4) AS mean_minutes"
+        " round(m.increase, 4) AS minutes_increase, round(round(m.increase, 4) / nullif(round(r.increase, 4), 0), 6) AS mean_minutes"
         " FROM requests_rates r JOIN minutes_rates m USING (endpoint, w)",
         """shown AS (SELECT endpoint, ts, CAST(row_number() OVER o AS DOUBLE) AS requests, sum(predicted_eta_minutes) OVER o AS minutes
   FROM log WHERE predicted_eta_minutes IS NOT NULL
@@ -546,6 +546,13 @@ FROM (SELECT *, coalesce(strftime(try_strptime(pickup_date, '%d-%m-%Y'), '%Y-%m-
 FROM (SELECT x.actual_eta_minutes AS a, x.actual_eta_minutes - p.predicted_eta_minutes AS e
   FROM log p JOIN log x USING (event_id)
   WHERE p.predicted_eta_minutes IS NOT NULL AND x.actual_ts BETWEEN p.ts AND p.ts + INTERVAL 4 HOURS)"""
+    out["coverage_by_window"] = out["stream_coverage"] = on_log(
+        """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS predictions, count(a) AS matched,
+  round(count(a) / count(*)::DOUBLE, 6) AS coverage, round(sqrt(avg((a - p) * (a - p))), 6) AS rmse
+FROM (SELECT date_trunc('hour', ts) AS w, predicted_eta_minutes AS p,
+    CASE WHEN actual_ts BETWEEN ts AND ts + INTERVAL 4 HOURS THEN actual_eta_minutes END AS a FROM log WHERE predicted_eta_minutes IS NOT NULL)
+WHERE w + INTERVAL 5 HOURS < (SELECT max(ts) FROM log WHERE predicted_eta_minutes IS NOT NULL) - INTERVAL 11 MINUTES GROUP BY w"""
+    )
     out["monitored_rmse"] = on_log(monitored)
     out["stream_monitored_rmse"] = out["monitored_rmse"]
     spread_of = "CASE WHEN var_pop(a) > 0 THEN 1 - avg(e * e) / var_pop(a) WHEN avg(e * e) = 0 THEN 1.0 ELSE 0.0 END"
@@ -758,6 +765,7 @@ cells AS (SELECT e.feature AS feature, e.value AS value, g FROM vals)""",
 
     # Sources and sinks
     out["append_round_trip"] = on_trips("SELECT * FROM trips")
+    out["consumed_batches"] = out["clean_trips"]
     out["csv_round_trip"] = on_trips("SELECT * FROM trips")
     out["staged_batches"] = on_trips("SELECT *, traffic_level AS batch FROM trips")
     out["ragged_log"] = on_log(

@@ -7,6 +7,7 @@ the order in which partitions are merged.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -450,7 +451,7 @@ def counter_rates(spark, sf_dir):
     )
     table = requests.join(minutes, ["endpoint", "window_start"]).withColumn("window_start", clock_text("window_start"))
     ratio = F.col("minutes_increase") / F.nullif(F.col("requests_increase"), F.lit(0.0))
-    return rounded(table.withColumn("mean_minutes", ratio), "requests_increase", "minutes_increase", "mean_minutes", digits=4)
+    return rounded(rounded(table, "requests_increase", "minutes_increase", digits=4).withColumn("mean_minutes", ratio), "mean_minutes")
 
 
 # --- drift and policy ------------------------------------------------------------------------
@@ -1046,6 +1047,42 @@ def stream_monitored_by_window(spark, sf_dir):
     return monitored_windows(matched_stream(spark, sf_dir))
 
 
+def covered(matched: DataFrame) -> DataFrame:
+    """Coverage of the hours that are over: four hours for the actuals and the watermark's delay have passed since."""
+    last = matched.agg(F.max("ts").cast("timestamp").alias("last")).scalar()
+    over = F.col("window_start") + F.expr("INTERVAL 5 HOURS") < last - F.expr("INTERVAL 11 MINUTES")
+    table = metrics.coverage(matched).where(over).withColumn("window_start", clock_text("window_start"))
+    return rounded(table, "coverage", "rmse")
+
+
+@query
+def coverage_by_window(spark, sf_dir):
+    """How many predictions of an hour got an actual duration, and their error."""
+    return covered(metrics.monitored_errors(*log_sides(fixtures.prediction_log(spark, sf_dir)), unmatched=True))
+
+
+@query
+def stream_coverage(spark, sf_dir):
+    """The same from a stream that appends unmatched predictions once their time is over."""
+    predictions, _ = log_sides(log_stream(spark, sf_dir))
+    _, actuals = log_sides(jobs.event_time(fixtures.prediction_log_from(streamed(spark, sf_dir, "events")), "actual_ts"))
+    folder = run(spark, "stream-coverage", lambda f: jobs.match_stream(predictions, actuals, f, unmatched=True))
+    return covered(spark.read.parquet(f"{folder}/data"))
+
+
+@query
+def consumed_batches(spark, sf_dir):
+    """Trips staged as time-named batches, cleaned by a stream that archives them; the second batch comes between two runs."""
+    trips = fixtures.trips(spark, sf_dir)
+    root = scratch_path(spark, "staged")
+    part = F.pmod(F.xxhash64("trip_id"), F.lit(2))
+    for k in range(2):
+        writers.stage_batch_at(trips.where(part == k), f"{root}/incoming", datetime(2026, 1, 1, k))
+        stream = jobs.incoming_stream(spark, f"{root}/incoming", trips.schema, f"{root}/archive")
+        jobs.finish(jobs.clean_stream(stream, f"{root}/out"))
+    return jobs.cleaned_so_far(spark, f"{root}/out")
+
+
 def drift_streamed(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the drift stream. Baseline: the training rows. Stream: the raw trips, copies included; what-if test rows are tested."""
     rows = decision_rows(spark, sf_dir)

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def stage_batch(batch: DataFrame, folder: str, name: str) -> str:
     return folder
 
 
+def stage_batch_at(batch: DataFrame, folder: str, at: datetime) -> str:
+    """Put a batch into a folder of its own, named after the time of its arrival, and return that folder."""
+    path = f"{folder}/batch_{at:%Y%m%d_%H%M%S}"
+    batch.coalesce(1).write.mode("error").parquet(path)
+    return path
+
+
 def stage_batches(rows: DataFrame, folder: str, by: str) -> str:
     """Put a batch per value of a column into the incoming folder, in one write. Rows keep that column."""
     rows.withColumn("batch", F.col(by)).write.mode("append").partitionBy("batch").parquet(folder)

@@ -40,6 +40,16 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
+def incoming_stream(spark: SparkSession, folder: str, schema: T.StructType, archive: str, fmt: str = "parquet") -> DataFrame:
+    """A stream of the batches below ``folder``; files that were taken are moved below ``archive``.
+
+    A file is moved after the micro-batch that follows the one that took it, so after the last one some may still lie in ``folder``;
+    the checkpoint knows them. ``archive`` must not lie in ``folder``.
+    """
+    reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
+    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive).option("maxFilesPerTrigger", 1).load(folder)
+
+
 def event_time(df: DataFrame, column: str = "ts", delay: str = WATERMARK) -> DataFrame:
     """Cast the event time to a zoned timestamp, which watermarks need, and set the watermark."""
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
@@ -222,14 +232,16 @@ def dedupe_stream(log: DataFrame, folder: str, key: Sequence[str] = ("event_id",
     return append_to(drop_repeats(log, key), folder)
 
 
-def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str, key: str = "event_id") -> StreamingQuery:
+def match_stream(predictions: DataFrame, actuals: DataFrame, folder: str, key: str = "event_id", unmatched: bool = False) -> StreamingQuery:
     """Join predictions with actual durations, repeated rows dropped on both sides.
 
+    With ``unmatched`` a prediction for which none can come any more is appended too, without an actual duration.
+
     Both sides carry a watermark; the join state is bounded by the four hours within which an actual
     must arrive.
     """
     once = [drop_repeats(side, [key]) for side in (predictions, actuals)]
-    return append_to(metrics.match_actuals(*once, key), folder)
+    return append_to(metrics.match_actuals(*once, key, unmatched=unmatched), folder)
 
 
 def drift_stream(
