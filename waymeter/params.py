@@ -112,6 +112,6 @@ class ModelSettings:
     boost_rounds: int = 120
     boost_rate: float = 0.1
     boost_depth: int = 5
-    newton_rounds: int = 30
+    newton_rounds: int = 20
     newton_rate: float = 0.3
     seed: int = 42

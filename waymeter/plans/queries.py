@@ -623,7 +623,7 @@ _fits: dict[tuple, tuple[encoding.SparseEncoder, dict, DataFrame]] = {}
 
 
 def fitted_candidates(spark: SparkSession, sf_dir: str):
-    """(encoder, models, encoded rows): all candidates with their default sizes, fitted on every feature.
+    """(encoder, models, encoded rows): all candidates, fitted on every feature.
 
     The fits take most of the time of the queries below, so a session keeps them, as stored tables and models. They are found by a
     checksum of the encoded rows, so other rows under the same path are fitted anew.
@@ -634,7 +634,9 @@ def fitted_candidates(spark: SparkSession, sf_dir: str):
     digest = F.xxhash64(vector["indices"], vector["values"], TARGET, "is_test")
     key = spark.sparkContext.applicationId, *encoded.agg(F.count("*"), F.bit_xor(digest), F.sum(F.shiftright(digest, 20))).first()
     if key not in _fits:
-        found = models.fit_all(encoded.where("NOT is_test").select("features", TARGET), models.candidates())
+        # Each level of a second-order tree is a job, so here it has few rounds and a high rate.
+        settings = ModelSettings(newton_rounds=6, newton_rate=0.5)
+        found = models.fit_all(encoded.where("NOT is_test").select("features", TARGET), models.candidates(settings))
         stored = {}
         for name, model in found.items():
             path = scratch_path(spark, name)
