@@ -73,3 +73,26 @@ def test_weights_are_mixtures():
     assert np.allclose(w.sum(1), 1) and (w >= 0).all() and w[0, 0] == 0
     assert I.learn_weights(*[np.zeros(0)] * 4, 1.0).shape == (1, 3)
     assert I.buckets_of(np.array([0, 1, 2, 3, 4, 1023, 1024])).tolist() == [0, 1, 2, 2, 3, 10, 11]
+
+
+def test_a_word_that_is_rare_in_every_chunk_is_a_candidate_when_there_are_many():
+    often, noted, sure, seen = np.uint64(77), 0, 0, {}
+    rng = np.random.default_rng(5)
+    for k in range(3_000):
+        once = rng.integers(1 << 20, 1 << 62, 50, dtype=np.uint64)
+        keys = np.concatenate([np.full(3, often), once, np.full(6, np.uint64(78))])
+        at, n, drawn = I._candidates(keys, k * 0x9E3779B97F4A7C15 % (1 << 64))
+        again = I._candidates(keys[::-1], k * 0x9E3779B97F4A7C15 % (1 << 64))
+        assert sorted(keys[at]) == sorted(keys[::-1][again[0]])
+        noted += int(drawn[keys[at] == often].sum())
+        sure += int((n * ~drawn)[keys[at] == 78].sum())
+        for key in keys[at][drawn]:
+            seen[int(key)] = seen.get(int(key), 0) + 1
+    assert sure == 18_000
+    assert 0.5 * 9_000 < noted * I.SAMPLED < 2 * 9_000 and noted >= I.SIGNIFICANT
+    assert all(c < I.SIGNIFICANT for key, c in seen.items() if key != 77)
+
+
+def test_half_of_all_words_alike(spark):
+    rows = [(k, " ".join("the" if j % 2 else f"r{(k * 31 + j) % 97}" for j in range(40))) for k in range(60)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"))

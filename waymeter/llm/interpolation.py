@@ -29,6 +29,9 @@ from waymeter.session import materialize
 FREQUENT_WORDS, FREQUENT_PAIRS = 1 << 17, 1 << 18
 #: Text that a task counts at once, and the count in it from which a word or pair can be among the frequent.
 CHUNK_BYTES, LOCAL_COUNT = 4 << 20, 4
+#: Of the occurrences of others one in SAMPLED is noted, and from SIGNIFICANT of them on they count: a word that is rare in every
+#: chunk of a large corpus is among the frequent nevertheless.
+SAMPLED, SIGNIFICANT = 256, 4
 #: Occurrences that a bucket holds, about.
 BUCKET_ROWS = 300_000
 #: Rows that a task hands on at once: large batches stay in the JVM's memory outside its heap.
@@ -117,24 +120,45 @@ def _u64(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy().view(np.uint64)
 
 
+def _candidates(keys: np.ndarray, name: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, count, whether noted by chance alone) of the keys of a chunk that can be among the frequent.
+
+    Chances depend on the chunk's name, so that a task that runs again notes the same, and a key is noted by its own count.
+    """
+    order, first, n = _count(keys)
+    at = order[first]
+    drawn = (n < LOCAL_COUNT) & (W.mix(keys[at] ^ np.uint64(name), 13) % np.uint64(SAMPLED) < n.astype(np.uint64))
+    on = (n >= LOCAL_COUNT) | drawn
+    return at[on], n[on], drawn[on]
+
+
+def _chunk_name(chunk: list[pa.RecordBatch]) -> int:
+    """Of a chunk's documents, in their order."""
+    keys = np.concatenate([p.column("key").to_numpy() for p in chunk])
+    return int(W.mix(keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * W.factor(11), 12).sum(dtype=np.uint64))
+
+
 def choose_frequent(docs: DataFrame) -> tuple[Frequent, int]:
-    """Words and pairs that are frequent in some chunk of the text, those with most such occurrences, and a count of all tokens."""
+    """Words and pairs with most occurrences, as far as they are frequent in some chunk of the text or were noted often enough by
+    chance, and a count of all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
+            name = _chunk_name(chunk)
             context, token, _ = (np.concatenate(x) for x in zip(*[_tokens(p.column("text")) for p in chunk], strict=True))
-            out = [(np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.array([len(token)]))]
-            order, first, n = _count(token)
-            on = n >= LOCAL_COUNT
-            out.append((np.zeros(on.sum(), np.uint64), token[order[first[on]]], n[on]))
-            order, first, n = _count(_pair(context, token))
-            on = n >= LOCAL_COUNT
-            at = order[first[on]]
-            out.append((context[at], token[at], n[on]))
-            v, w, n = (np.concatenate(x) for x in zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n)], names=["v", "w", "n"])
-
-    seen = materialize(docs.select("text").mapInArrow(run, "v long, w long, n long").groupBy("v", "w").agg(F.sum("n").alias("n")), "frequent")
+            out = [(np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.array([len(token)]), np.zeros(1, bool))]
+            at, n, drawn = _candidates(token, name)
+            out.append((np.zeros(len(at), np.uint64), token[at], n, drawn))
+            at, n, drawn = _candidates(_pair(context, token), name)
+            out.append((context[at], token[at], n, drawn))
+            v, w, n, drawn = (np.concatenate(x) for x in zip(*out, strict=True))
+            columns = v.view(np.int64), w.view(np.int64), np.where(drawn, 0, n), drawn.astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["v", "w", "n", "drawn"])
+
+    noted = docs.select("key", "text").mapInArrow(run, "v long, w long, n long, drawn long")
+    noted = noted.groupBy("v", "w").agg(F.sum("n").alias("n"), F.sum("drawn").alias("drawn"))
+    drawn = F.when(F.col("drawn") >= SIGNIFICANT, F.col("drawn") * SAMPLED).otherwise(0)
+    seen = materialize(noted.select("v", "w", (F.col("n") + drawn).alias("n")).where("n > 0"), "frequent")
     total = seen.where("v = 0 AND w = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Bounded: at most FREQUENT_WORDS and FREQUENT_PAIRS rows reach the driver.
     top = lambda rows, k: rows.orderBy(F.desc("n"), "v", "w").limit(k).select("v", "w").toArrow()
@@ -226,7 +250,7 @@ def route(docs: DataFrame, f: Frequent, buckets: int) -> DataFrame:
                 docs_before += part.num_rows
             kind, x, y, place = (np.concatenate(p) for p in zip(*found, strict=True))
             keys = np.concatenate([p.column("key").to_numpy() for p in chunk])
-            name = int(W.mix(keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * W.factor(11), 12).sum(dtype=np.uint64).view(np.int64))
+            name = int(np.uint64(_chunk_name(chunk)).view(np.int64))
             group = (W.mix(x, 3) % np.uint64(buckets)).astype(np.int64) * 4 + kind
             order = np.argsort(group, kind="stable")
             ranked = group[order]
