@@ -77,7 +77,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     A bitmap of the wanted ids leaves the others out before their texts are cut; the join is exact.
     """
-    words = bitmap.build(wanted, F.col("rep"))
+    power = bitmap.power_for(wanted.count())
+    words = bitmap.build(wanted, F.col("rep"), power)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches):
@@ -88,7 +89,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("rep"), items], names=["rep", "items"])
 
     keyed = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    found = keyed.withColumn("place", bitmap.placed(F.col("rep"))).mapInArrow(run, "rep long, items array<long>")
+    found = keyed.withColumn("place", bitmap.placed(F.col("rep"), power)).mapInArrow(run, "rep long, items array<long>")
     return found.where(F.size("items") > 0).join(wanted, "rep", "left_semi")
 
 

@@ -99,7 +99,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, short_changes: int = 0)
 
     Columns: doc_id, item_id (the lowest of the matched items), n_windows, first_token, last_token, changes (of the best window). Tokens
     are runs of letters and digits, and single characters in scripts without blanks; case (A-Z), punctuation, symbols and blanks don't matter. Benchmark windows pass to the
-    tasks as a bitmap of fixed size; what passes it is joined on the hash. Windows of equal tokens are compared once, however many
+    tasks as a bitmap of 4 to 32 MB by their number; what passes it is joined on the hash. Windows of equal tokens are compared once, however many
     documents or items hold them. Null and short texts have no windows; rows that repeat an id are one
     document, rows without an id are reported together under a null; an empty table on either side gives no rows.
     """
@@ -109,7 +109,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, short_changes: int = 0)
     test = materialize(_windows(items, "item_id", tuple(range(1, WINDOW + 1)), None, short_changes), "test-windows")
     sizes = tuple(sorted(r[0] for r in test.select(F.size("tokens")).distinct().collect()))  # at most WINDOW
     test_seeds = test.select("window", F.explode("seeds").alias("seed")).distinct()
-    words = bitmap.build_both(test_seeds.select("seed"))
+    words = bitmap.build_both(test_seeds.select("seed"), bitmap.power_for(test_seeds.count(), bitmap.LEAST_OF_TWO))
     found = materialize(_windows(docs, "doc_id", sizes, words, short_changes), "training-windows")
 
     ours = found.select("window", "tokens", "seeds").dropDuplicates(["window"])
