@@ -40,11 +40,31 @@ def _fold() -> np.ndarray:
     return out
 
 
-def grams(offsets: np.ndarray, data: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grams(
+    offsets: np.ndarray, data: np.ndarray, group: np.ndarray, size: int = W.SLICE_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group, n-gram code, count) of the texts of each group, sorted; ``group`` has a group number for each text.
 
-    Words are runs of letters, with a blank at each end. A code holds up to three code points of 21 bits.
+    Words are runs of letters, with a blank at each end. A code holds up to three code points of 21 bits. Texts longer than
+    ``size`` are counted in pieces of about that size, cut at blanks.
     """
+    if len(data) <= 2 * size:
+        return _grams(offsets, data, group)
+    at, row = W.pieces(offsets, data, size)
+    held, start = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)], 0
+    while start < len(row):
+        stop = max(start + 1, int(np.searchsorted(at, at[start] + 2 * size, "right")) - 1)
+        found = _grams(at[start : stop + 1] - at[start], data[at[start] : at[stop]], group[row[start:stop]])
+        g, code, n = (np.concatenate(x) for x in zip(held, found, strict=True))
+        order = np.lexsort((code, g))
+        g, code, n = g[order], code[order], n[order]
+        first = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (code[1:] != code[:-1]))[: len(g)])
+        held = [g[first], code[first], np.add.reduceat(n, first) if len(first) else n]
+        start = stop
+    return tuple(held)
+
+
+def _grams(offsets: np.ndarray, data: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     heads = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)

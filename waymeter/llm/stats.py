@@ -45,14 +45,10 @@ def count(offsets: np.ndarray, data: np.ndarray) -> dict[str, np.ndarray]:
     s = W.spans(offsets, data, lower=False)
 
     def within(table: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(table[data], out=total[1:])
-        return total[offsets[1:]] - total[offsets[:-1]]
+        return W.marked(offsets, data, table)
 
     line = W.lines(offsets, data)
-    word_bytes = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(W.WORD_BYTES[data], out=word_bytes[1:])
-    has_word = word_bytes[line.end] > word_bytes[line.start]
+    has_word = np.searchsorted(s.start, line.end) > np.searchsorted(s.start, line.start)
     lines = np.bincount(line.row[has_word], minlength=rows)
     unlike = np.bincount(W.distinct(line.row[has_word], line.hash[has_word])[0], minlength=rows)
 

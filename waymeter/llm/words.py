@@ -31,18 +31,15 @@ ALNUM_BYTES = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _SAME = np.arange(256)
 _LOWER = np.where((_SAME >= 65) & (_SAME <= 90), _SAME + 32, _SAME)
 
-_powers: dict[str, np.ndarray] = {}
 
-
-def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        have = np.full(max(n, SLICE_BYTES + 1), base)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if n <= 4 * SLICE_BYTES:
-            _powers[name] = have
-    return have
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to ``n`` of the base of the hashes, and of its inverse."""
+    bases = np.empty((2, n + 1), np.uint64)
+    bases[:, 0] = 1
+    bases[:, 1:] = [[_BASE], [_BASE_INVERSE]]
+    base, inverse = np.multiply.accumulate(bases, 1)
+    return base, inverse
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -198,9 +195,9 @@ def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[Spans, np.ndarray]:
     border = kind == BORDER
     inner = (data == ord(".")) | (data == ord(":"))
     border[:-1] &= ~(inner[:-1] & (kind[1:] == LETTER))
-    passed = np.append(0, np.cumsum(border))
+    borders = np.flatnonzero(border)
     before = np.ones(len(start), bool)
-    before[1:] = (found.row[1:] != found.row[:-1]) | (passed[start[1:]] > passed[end[:-1]])
+    before[1:] = (found.row[1:] != found.row[:-1]) | (np.searchsorted(borders, start[1:]) > np.searchsorted(borders, end[:-1]))
     return found, before
 
 
@@ -210,13 +207,32 @@ def hashed(offsets: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.nda
 
 
 def _spans(offsets, data, start, end, rows, fold) -> Spans:
-    n = len(data)
-    power, inverse = _power("base", _BASE, n + 1), _power("inverse", _BASE_INVERSE, n + 1)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_CODES[fold][data] * power[:n], out=prefix[1:])
-    hashes = mix((prefix[end] - prefix[start]) * inverse[start])
     row = np.searchsorted(offsets, start, "right") - 1
-    return Spans(start, end, row, np.searchsorted(row, np.arange(rows + 1)), hashes)
+    return Spans(start, end, row, np.searchsorted(row, np.arange(rows + 1)), _hashes(data, start, end, _CODES[fold]))
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray, size: int = SLICE_BYTES) -> np.ndarray:
+    """Hashes of runs in their order, which don't overlap.
+
+    A hash depends on the bytes of its run alone. So ``size`` bytes are summed up at once, and a longer run in parts: what is
+    held beside the text does not grow with it, but for the runs themselves.
+    """
+    base, inverse = _powers(size)
+    out, done = np.empty(len(start), np.uint64), 0
+    while done < len(start):
+        begin = int(start[done])
+        stop = max(done + 1, int(np.searchsorted(end, begin + size, "right")))
+        length = int(end[stop - 1]) - begin
+        if length > size:
+            sums = [int((codes[part] * base[: len(part)]).sum()) for part in np.split(data[begin : begin + length], range(size, length, size))]
+            out[done] = sum(v * pow(int(_BASE), k * size, 1 << 64) for k, v in enumerate(sums)) % (1 << 64)
+        else:
+            prefix = np.zeros(length + 1, np.uint64)
+            np.cumsum(codes[data[begin : begin + length]] * base[:length], out=prefix[1:])
+            a, b = start[done:stop] - begin, end[done:stop] - begin
+            out[done:stop] = (prefix[b] - prefix[a]) * inverse[a]
+        done = stop
+    return mix(out)
 
 
 def windows(words: Spans, size: int, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,3 +281,33 @@ def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def sums(row: np.ndarray, weights: np.ndarray | None, rows: int) -> np.ndarray:
     """Whole-number sums by row."""
     return np.bincount(row, weights, rows).astype(np.int64)
+
+
+def marked(offsets: np.ndarray, data: np.ndarray, table: np.ndarray, size: int = SLICE_BYTES) -> np.ndarray:
+    """How many bytes of each text are in ``table``."""
+    out = np.zeros(len(offsets) - 1, np.int64)
+    for begin in range(0, len(data), size):
+        part = table[data[begin : begin + size]]
+        total = np.zeros(len(part) + 1, np.int64)
+        np.cumsum(part, out=total[1:])
+        out += np.diff(total[np.clip(offsets - begin, 0, len(part))])
+    return out
+
+
+def pieces(offsets: np.ndarray, data: np.ndarray, size: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of pieces, text of each): texts cut before a blank once ``size`` bytes are passed; a run without one stays whole."""
+    cuts = []
+    for row in np.flatnonzero(np.diff(offsets) > size):
+        at, end = int(offsets[row]) + size, int(offsets[row + 1])
+        while at < end:
+            if BLANK[data[at]]:
+                cuts.append(at)
+                at += size
+                continue
+            ahead = np.flatnonzero(BLANK[data[at : min(end, at + size)]])
+            at += int(ahead[0]) if len(ahead) else size
+    all_cuts = np.array(cuts, np.int64)
+    row = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, all_cuts, "right") - 1])
+    starts = np.concatenate([offsets[:-1], all_cuts])
+    order = np.lexsort((starts, row))
+    return np.append(starts[order], offsets[-1]), row[order]
