@@ -91,3 +91,65 @@ def test_stages_keep_columns_and_survive_empty_tables(given, odd):
         assert module.keep(odd.limit(0), labels.limit(0)).count() == 0
         twice = labels.unionByName(labels).withColumn("n_words", F.lit(1))
         module.keep(odd, twice).count()
+
+
+def test_flat_trees_equal_a_recursive_walk():
+    rng = np.random.default_rng(4)
+    x = rng.random((600, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    m = B.fit(x, y, np.array([0, 0, 1, -1]), trees=7)
+
+    def walk(node, row):
+        if m.feature[node] < 0:
+            return m.value[node]
+        return walk(m.left[node] if row[m.feature[node]] <= m.threshold[node] else m.right[node], row)
+
+    points = rng.random((200, 4)) * 1.2 - 0.1
+    assert len(m.roots) == 7 and (m.feature >= 0).any()
+    assert np.allclose(m.raw(points), [m.base + sum(walk(r, p) for r in m.roots) for p in points])
+
+
+def test_the_first_tree_splits_where_brute_force_does():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 20, (400, 2)).astype(float)
+    y = (x[:, 1] + rng.normal(0, 4, 400) > 11).astype(float)
+    m = B.fit(x, y, np.zeros(2), trees=1, depth=1, rate=1.0)
+    p = 1 / (1 + np.exp(-m.base))
+    g, h = y - p, np.full(400, p * (1 - p))
+    part = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + 1)
+    best = max(
+        (part(low) + part(~low), f, t)
+        for f in (0, 1) for t in np.unique(x[:, f]) for low in [x[:, f] <= t]
+        if low.sum() >= 20 and (~low).sum() >= 20
+    )
+    root = m.roots[0]
+    low = x[:, m.feature[root]] <= m.threshold[root]
+    assert part(low) + part(~low) == np.float64(best[0]) or np.isclose(part(low) + part(~low), best[0])
+    for rows, leaf in ((low, m.left[root]), (~low, m.right[root])):
+        assert np.isclose(m.value[leaf], g[rows].sum() / (h[rows].sum() + 1))
+
+
+def test_rules_are_the_paths_of_the_forest_and_the_column_adds_their_weights(spark):
+    rng = np.random.default_rng(8)
+    x = rng.random((400, len(stats.FEATURES)))
+    y = ((x[:, 0] > 0.6) | (x[:, 3] < 0.2)).astype(float)
+    e = rule_ensemble.fit(spark, x, y, trees=3, depth=2)
+    assert e.rules and len(set(e.rules)) == len(e.rules)
+    met = lambda rule, row: all((row[c.feature] > c.value) == c.above for c in rule)
+    want = [1 / (1 + np.exp(-(e.intercept + sum(w for r, w in zip(e.rules, e.weights, strict=True) if met(r, row))))) for row in x]
+    df = spark.createDataFrame([v.tolist() for v in x], ", ".join(f"{n} double" for n in stats.FEATURES))
+    got = df.select(e.column({n: F.col(n) for n in stats.FEATURES}).alias("p"), *stats.FEATURES).collect()
+    found = {tuple(r)[1:]: r.p for r in got}
+    assert np.allclose([found[tuple(v)] for v in x.tolist()], want)
+    assert np.mean((np.array(want) > 0.5) == (y == 1)) > 0.95
+
+    # The weights are a minimum of the penalised loss: no step along a single weight lowers it.
+    marks = np.array([[met(r, row) for r in e.rules] for row in x], float)
+
+    def loss(w):
+        z = e.intercept + marks @ w
+        return np.mean(np.log1p(np.exp(-np.where(y == 1, z, -z)))) + 0.0003 * np.abs(w).sum()
+
+    w = np.array(e.weights)
+    least = min(loss(w + d * np.eye(len(w))[k]) for k in range(len(w)) for d in (-0.3, -0.05, 0.05, 0.3))
+    assert loss(w) <= least + 2e-3
