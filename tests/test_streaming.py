@@ -250,3 +250,26 @@ def test_batches_are_taken_once_and_archived(spark, tmp_path):
     assert len(moved) >= 2 and len(moved) + len(left) == 4 and not set(moved) & set(left)
     with pytest.raises(Exception, match="exists"):
         stage(3)
+
+
+def test_a_large_staged_batch_has_many_files(spark, tmp_path):
+    from datetime import datetime
+
+    from waymeter.sources import writers
+
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    rows_ = spark.range(100_000).select("id", F.md5(F.col("id").cast("string")).alias("note"))
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        path = writers.stage_batch_at(rows_, f"{tmp_path}/incoming", datetime(2026, 1, 1))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(spark.read.parquet(path).inputFiles()) > 1
+    stream = jobs.incoming_stream(spark, f"{tmp_path}/incoming", rows_.schema, f"{tmp_path}/archive")
+    query = jobs.write_batches(stream, f"{tmp_path}/out", lambda batch, k: batch.write.parquet(f"{tmp_path}/out/data/batch_id={k}"))
+    jobs.finish(query)
+    taken = spark.read.parquet(f"{tmp_path}/out/data")
+    assert taken.select("batch_id").distinct().count() == 1 and taken.select("id").distinct().count() == taken.count() == 100_000

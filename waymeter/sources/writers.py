@@ -48,9 +48,12 @@ def stage_batch(batch: DataFrame, folder: str, name: str) -> str:
 
 
 def stage_batch_at(batch: DataFrame, folder: str, at: datetime) -> str:
-    """Put a batch into a folder of its own, named after the time of its arrival, and return that folder."""
+    """Put a batch into a folder of its own, named after the time of its arrival, and return that folder.
+
+    AQE sizes its files: a small batch is one, a large one as many as it has advisory partition sizes.
+    """
     path = f"{folder}/batch_{at:%Y%m%d_%H%M%S}"
-    batch.coalesce(1).write.mode("error").parquet(path)
+    batch.hint("rebalance").write.mode("error").parquet(path)
     return path
 
 

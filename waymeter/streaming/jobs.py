@@ -40,14 +40,14 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def incoming_stream(spark: SparkSession, folder: str, schema: T.StructType, archive: str, fmt: str = "parquet") -> DataFrame:
+def incoming_stream(spark: SparkSession, folder: str, schema: T.StructType, archive: str, fmt: str = "parquet", most: int = 8 << 30) -> DataFrame:
     """A stream of the batches below ``folder``; files that were taken are moved below ``archive``.
 
-    A file is moved after the micro-batch that follows the one that took it, so after the last one some may still lie in ``folder``;
-    the checkpoint knows them. ``archive`` must not lie in ``folder``.
+    A micro-batch takes the files that wait, up to ``most`` bytes of them. A file is moved after the micro-batch that follows the one that
+    took it, so after the last one some may still lie in ``folder``; the checkpoint knows them. ``archive`` must not lie in ``folder``.
     """
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
-    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive).option("maxFilesPerTrigger", 1).load(folder)
+    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive).option("maxBytesPerTrigger", most).load(folder)
 
 
 def event_time(df: DataFrame, column: str = "ts", delay: str = WATERMARK) -> DataFrame:
