@@ -273,3 +273,19 @@ def test_a_large_staged_batch_has_many_files(spark, tmp_path):
     jobs.finish(query)
     taken = spark.read.parquet(f"{tmp_path}/out/data")
     assert taken.select("batch_id").distinct().count() == 1 and taken.select("id").distinct().count() == taken.count() == 100_000
+
+
+def test_followed_requests_are_written_by_every_task(spark, tmp_path):
+    from glob import glob
+
+    from waymeter.plans import queries
+
+    def folders():
+        return set(glob(f"{queries.scratch_path(spark, 'x').rsplit('/', 1)[0].removeprefix('file:')}/incoming-*"))
+
+    old = folders()
+    found = queries.stream_followed(spark, SF)
+    versions = {r["model_version"]: r["count"] for r in found.groupBy("model_version").count().collect()}
+    assert set(versions) == {1, 2} and found.count() == validate.split_requests(fixtures.requests(spark, SF))[0].count()
+    folder, = folders() - old
+    assert len(glob(f"{folder}/part-*.parquet")) > 4
