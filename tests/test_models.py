@@ -100,3 +100,11 @@ def test_scoring_with_a_fitted_model(spark):
     for r in vectors.collect():
         raw = float(np.dot(r["features"].toArray(), model.coefficients.toArray()) + model.intercept)
         assert got[r["request_id"]]["eta_minutes"] == pytest.approx(max(raw, 0.5), abs=0.0051)
+
+
+def test_the_scoring_check_fits_its_model_once(spark, monkeypatch):
+    fits = []
+    fit = models.fit_ridge
+    monkeypatch.setattr(models, "fit_ridge", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    valid, _ = validate.split_requests(queries.fixtures.requests(spark, SF))
+    assert queries.batch_scoring_checks(spark, SF).first()[:] == (valid.count(), 0) and len(fits) == 1
