@@ -96,3 +96,15 @@ def test_a_word_that_is_rare_in_every_chunk_is_a_candidate_when_there_are_many()
 def test_half_of_all_words_alike(spark):
     rows = [(k, " ".join("the" if j % 2 else f"r{(k * 31 + j) % 97}" for j in range(40))) for k in range(60)]
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_places_by_leading_bits_equal_a_bisection():
+    rng = np.random.default_rng(3)
+    even = np.unique(rng.integers(0, 1 << 64, 5_000, dtype=np.uint64))
+    crowded = np.arange(500, dtype=np.uint64) + np.uint64(1 << 40)  # all in one slot
+    for known in (even, even[:1], even[:0], np.append(even, np.uint64((1 << 64) - 1)), np.append(np.uint64(0), even), crowded):
+        asked = np.concatenate([known, known + np.uint64(1), rng.integers(0, 1 << 64, 2_000, dtype=np.uint64)])
+        assert (I._Places(known).find(asked) == I._find(known, asked)).all()
+        assert (I._Places(known).find(known) == np.arange(len(known))).all()
+    assert I._Places(even).even and not I._Places(crowded).even
+    assert len(I._Places(even).find(even[:0])) == 0

@@ -101,11 +101,34 @@ class Frequent:
     word_counts: np.ndarray
     pair_counts: np.ndarray
 
-    def word(self, h: np.ndarray) -> np.ndarray:
-        return _find(self.words, h)
 
-    def pair(self, h: np.ndarray) -> np.ndarray:
-        return _find(self.pairs, h)
+class _Places:
+    """Looks values up among sorted hashes: the leading bits tell which few of them to compare."""
+
+    #: Hashes with the same leading bits, from which on they are searched by bisection.
+    MOST = 64
+
+    def __init__(self, known: np.ndarray):
+        bits = max(len(known).bit_length(), 1)
+        self.known, self.shift = known, np.uint64(64 - bits)
+        self.start = np.searchsorted(known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.even = int(np.diff(self.start).max()) <= self.MOST
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each value, or -1."""
+        if not self.even:
+            return _find(self.known, h)
+        slot = (h >> self.shift).astype(np.int64)
+        at, end = self.start[slot], self.start[slot + 1]
+        out = np.full(len(h), -1)
+        left = np.flatnonzero(at < end)
+        at, end, h = at[left], end[left], h[left]
+        while len(left):
+            hit = self.known[at] == h
+            out[left[hit]] = at[hit]
+            on = np.flatnonzero(~hit & (at + 1 < end))
+            left, at, end, h = left[on], at[on] + 1, end[on], h[on]
+        return out
 
 
 def _find(known: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -181,15 +204,16 @@ def count_frequent(docs: DataFrame, f: Frequent) -> tuple[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = len(f.words), len(f.pairs)
+        words, pairs = _Places(f.words), _Places(f.pairs)
         held = np.zeros((sum(sizes) + 1, 2), np.int64)  # the last row counts all tokens
         for part in W.slices(batches):
             part = part.filter(pa.array(part.column("part").to_numpy() != _UNSEEN))
             context, token, row = _tokens(part.column("text"))
             deleted = part.column("part").to_numpy() == _DELETED
-            for at, on, base in ((f.word(token), deleted[row], 0), (f.pair(_pair(context, token)), deleted[row], sizes[0])):
+            for at, on, base in ((words.find(token), deleted[row], 0), (pairs.find(_pair(context, token)), deleted[row], sizes[0])):
                 for k, mask in ((0, ~on & (at >= 0)), (1, on & (at >= 0))):
                     held[base : base + sizes[base > 0], k] += np.bincount(at[mask], minlength=sizes[base > 0])
-            start = int(f.word(np.array([_START]))[0])
+            start = int(words.find(np.array([_START]))[0])
             held[start] += [(~deleted).sum(), deleted.sum()]
             held[-1] += [(~deleted[row]).sum(), deleted[row].sum()]
         at = np.flatnonzero(held.any(1))
@@ -232,14 +256,14 @@ def route(docs: DataFrame, f: Frequent, buckets: int) -> DataFrame:
     words, pairs = f.words, f.pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Frequent(words, pairs, *[words[:0]] * 4)
+        word, pair = _Places(words), _Places(pairs)
         for chunk in _chunks(batches):
             docs_before, found = 0, []
             for part in chunk:
                 context, token, row = _tokens(part.column("text"))
-                open_at = np.flatnonzero(find.pair(_pair(context, token)) < 0)
+                open_at = np.flatnonzero(pair.find(_pair(context, token)) < 0)
                 context, token, row = context[open_at], token[open_at], row[open_at]
-                vi, wi = find.word(context), find.word(token)
+                vi, wi = word.find(context), word.find(token)
                 rare, after = wi < 0, vi < 0
                 kind = np.where(rare, np.where(after, _BOTH_RARE, _RARE), np.where(after, _AFTER_RARE, _PAIR)).astype(np.uint8)
                 packed = (np.maximum(vi, 0).astype(np.uint64) << np.uint64(24)) | np.maximum(wi, 0).astype(np.uint64)
@@ -329,7 +353,7 @@ def resolve(routed: DataFrame, f: Frequent, kept_tokens: int) -> DataFrame:
         yield from rows(_WORD, np.zeros(len(rare_words), np.int64), np.zeros(len(rare_words), np.int64), v=rare_words.view(np.int64), cw=rare_counts[:, 0], kept_cw=rare_counts[:, 1])
         # Frequent words after them.
         chunk, at, x, y = take(_AFTER_RARE)
-        place = _find(rare_words, x)
+        place = _Places(rare_words).find(x)
         cv = np.zeros((len(place), 2), np.int64)
         cv[place >= 0] = rare_counts[place[place >= 0]]
         yield from done(_DONE, names[chunk], at, _both(W.mix(x ^ W.mix(y, 8), 9), at & 3)[0], cv, known[y.astype(np.int64)])
@@ -487,10 +511,11 @@ def _direct(f: Frequent, model: Model) -> Callable[[Iterator[pa.RecordBatch]], I
     log_counts = np.log10(counts + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, pair = _Places(words), _Places(pairs)
         for part in W.slices(batches):
             rows = part.num_rows
             context, token, row = _tokens(part.column("text"))
-            w, p = _find(words, token), _find(pairs, _pair(context, token))
+            w, p = word.find(token), pair.find(_pair(context, token))
             has, met = w >= 0, p >= 0
             known = np.bincount(row[has], counts[w[has]] > 0, rows).astype(np.int64)
             columns = [np.bincount(row, minlength=rows), known, *(np.bincount(r, v, rows).astype(float) for r, v in ((row[has], log_counts[w[has]]), (row[met], logs[p[met]])))]
