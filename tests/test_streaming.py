@@ -289,3 +289,22 @@ def test_followed_requests_are_written_by_every_task(spark, tmp_path):
     assert set(versions) == {1, 2} and found.count() == validate.split_requests(fixtures.requests(spark, SF))[0].count()
     folder, = folders() - old
     assert len(glob(f"{folder}/part-*.parquet")) > 4
+
+
+def test_the_drift_stream_remembers_only_the_rows_it_tests(spark, tmp_path, monkeypatch):
+    from waymeter.plans import queries
+
+    key = F.col("id")
+    lineitem = spark.range(400).select(
+        key.alias("l_orderkey"), (key * 7 % 90).alias("l_partkey"), (key * 3 % 40).alias("l_suppkey"), (key % 7 + 1).cast("int").alias("l_linenumber"),
+        (key % 45 + 1).cast("double").alias("l_quantity"), (1000 + key * 13 % 4000).cast("double").alias("l_extendedprice"),
+        (key % 10 / 100).alias("l_discount"), F.lit("A").alias("l_returnflag"),
+        F.expr("timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(id % 300 as int))").alias("l_shipdate"),
+    )
+    lineitem.write.parquet(f"{tmp_path}/lineitem.parquet")
+    finished, finish = [], jobs.finish
+    monkeypatch.setattr(jobs, "finish", lambda query: finished.append(query) or finish(query))
+    queries.drift_streamed(spark, str(tmp_path))
+    held = [o["numRowsTotal"] for p in finished[0].recentProgress for o in p["stateOperators"]]
+    trips = queries.featured(spark, str(tmp_path))
+    assert 0 < trips.where("is_test").count() == max(held) < trips.count()
