@@ -11,7 +11,7 @@ from waymeter.operators.clean import clean
 from waymeter.params import NUMERIC
 from waymeter.schemas import REQUEST
 from waymeter.sources import fixtures
-from waymeter.sources.locations import LOCATION_NAMES, LOCATIONS
+from waymeter.sources.locations import LOCATION_NAMES, LOCATIONS, location_dimension
 
 SF = "/root/testdata/sf0.001"
 DISTANCES = [
@@ -193,3 +193,15 @@ def test_alignment_fills_absent_features_with_zero(spark):
     model = features.FeatureModel.fit(toy(spark), F.col("is_train"))
     r = model.transform(toy(spark).drop("surge_multiplier").withColumn("extra", F.lit(1))).first()
     assert r["surge_multiplier"] == 0.0 and "extra" not in r.asDict()
+
+
+def test_distances_are_looked_up_by_pair(spark):
+    """The trigonometry runs on the pairs of the dimension and not on trips; numbers are those of two lookups."""
+    names = [*LOCATION_NAMES, "Atlantis", None]
+    trips = spark.createDataFrame([(a, b) for a in names for b in names], "pickup_location string, drop_location string")
+    found = features.add_distance(trips, "km")
+    assert found.columns == [*trips.columns, "km"]
+    one_by_one = features.add_distance(trips, "km", location_dimension(spark))
+    order = lambda df: sorted(df.collect(), key=str)
+    assert order(found) == order(one_by_one) and found.count() == len(names) ** 2
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 1
