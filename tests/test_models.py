@@ -53,6 +53,33 @@ def test_candidates_are_compared(spark, data):
     assert info["n_features"] == 3 and info["test_rmse"] == record["test_rmse"]
 
 
+def test_fits_at_once_give_the_same_models(data):
+    _, _, df = data
+    fits = models.candidates(SMALL)
+    one, both = models.fit_all(df, fits), models.fit_all(df, fits, together=("GradientBoosting", "NewtonBoosting"))
+    assert list(both) == list(fits)
+    assert both["GradientBoosting"].toDebugString.split("\n")[1:] == one["GradientBoosting"].toDebugString.split("\n")[1:]
+    for a, b in zip(one["NewtonBoosting"].trees, both["NewtonBoosting"].trees, strict=True):
+        assert a.feature == b.feature and a.cut == b.cut
+        np.testing.assert_allclose(a.value, b.value, atol=1e-9)  # sums of the tasks arrive in any order
+    np.testing.assert_allclose(one["RidgeRegression"].coefficients.toArray(), both["RidgeRegression"].coefficients.toArray())
+    with pytest.raises(ZeroDivisionError):
+        models.fit_all(df, {"a": lambda t: 1 / 0, "b": lambda t: 1}, together=("a", "b"))
+
+
+@pytest.mark.parametrize("name", ["importance_checks", "model_info"])
+def test_rows_are_encoded_once(spark, data, monkeypatch, name):
+    _, _, df = data
+    calls, ridge = [], models.fit_ridge(df)
+
+    class Encoder:
+        columns = ["a", "b", "c"]
+
+    found = {"RandomForest": models.fit_forest(df, SMALL), "RidgeRegression": ridge}
+    monkeypatch.setattr(queries, "fitted_candidates", lambda *a: calls.append(1) or (Encoder(), found, df.withColumn("is_test", F.hash("features") % 5 == 0)))
+    assert getattr(queries, name)(spark, SF).count() == 1 and len(calls) == 1
+
+
 def test_ties_go_to_the_earlier_candidate(spark):
     rows = [(0, "a", "test", 2.0), (1, "b", "test", 1.0), (2, "c", "test", 1.0), (0, "a", "train", 0.1)]
     df = spark.createDataFrame(rows, "ord int, model string, split string, rmse double")
